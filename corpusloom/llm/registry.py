@@ -24,6 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 for _name in (
+    "personal",
     "formatting",
     "encoding",
     "mixing",
