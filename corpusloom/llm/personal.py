@@ -31,9 +31,9 @@ gillis gottfrid greta gudrun gun gunborg gunhild gunilla gunnar gunvor gustaf gu
 hedda hedvig helena helga helge helmer henning henrik henry herbert hilda hilma hjalmar hjördis holger hugo håkan
 ida inga ingeborg ingegerd inger ingrid ingvar irene irma isak isabella ivar jakob jan jenny jesper joakim johan johanna
 john jonas josef julia kaj karin karl karolina katarina kerstin kjell klara klas knut konrad kristin kristina kurt
-lars lasse leif lena lennart linda linnea lisa lisbeth lotta louise lovisa ludvig magnus maj maja malin margareta maria
+lars lasse leif lena lennart linda linnea lisa lisbeth lotta louise lovisa ludvig magnus maja malin margareta maria
 marianne marie martin mats matilda mattias mikael moa mona märta nanna nils nina ola olga olle olof olov orvar oskar otto
-patrik paul per pernilla peter petra pia ragnar ragnhild rakel rolf roland rune rut ruth saga sara selma signe sigrid
+patrik paul per pernilla peter petra pia ragnar ragnhild rakel rolf roland rune rut ruth sara selma signe sigrid
 sigurd simon siv sixten sofia solveig staffan stefan stellan stig stina sture sune susanne svea sven svante sylvia
 tage tekla teodor thomas tilda tomas tor torbjörn tore torsten tove tyra ture ulf ulla ulrik ulrika urban vendela vera
 verner viggo viktor viktoria vilgot vilhelm viola viveka vivianne waldemar walter wilhelm yngve yvonne åke åsa östen
@@ -64,6 +64,9 @@ NOT_SURNAMES = frozenset(
 )
 ABBREVIATIONS = ("d.v.s.", "bl.a.", "t.ex.", "m.m.", "o.s.v.", "m.fl.", "f.d.", "s.k.", "p.g.a.", "f.ö.", "e.d.", "i.e.")
 
+#: First names that are also words: only in the case of a name.
+WORD_NAMES = frozenset("per stig kaj dan linda tor siv boel viola".split())
+
 _L = "[^\\W\\d_]"
 _AT = r"@|\(\s*at\s*\)|\[\s*at\s*\]|[\[(]\s*snabel-?a\s*[\])]"
 _LOCAL = re.compile(rf"(?:{_L}|\d)(?:{_L}|[\d.+_-])*\Z")
@@ -74,23 +77,23 @@ _DOT = r"(?:\s*[\[(]\s*(?:punkt|dot)\s*[\])]\s*|\s+\.\s+|\.)"
 _DOMAIN_SPACED = re.compile(rf"\s*{_LABEL}(?:{_DOT}{_LABEL})+")
 _AT_FORM = re.compile(_AT)
 
-_SEP = r"[\s ]*[-–/.]?[\s ]*"
+_SEP = r"\s*[-–/.]?\s*"
 _PHONE = re.compile(
     rf"(?:(?:\+|00)46{_SEP}(?:\(0\){_SEP})?(?P<a>[1-9]\d{{0,2}})|\((?P<b>[0oO][1-9]\d{{0,2}})\)|(?P<c>[0oO][1-9]\d{{0,2}}))"
     rf"(?P<rest>(?:{_SEP}\d{{2,9}})+)(?![\d\w])"
 )
 # a day of 61 to 91 is that of a coordination number
 _IDNUM = re.compile(
-    r"(?P<y>(?:18|19|20)?\d\d)(?P<m>0[1-9]|1[0-2])(?P<d>[06][1-9]|[1278]\d|[39][01])(?:[\s ]?[-–—+][\s ]?|[\s ])?\d{4}(?![\d\w])(?!-\d)"
+    r"(?P<y>(?:18|19|20)?\d\d)(?P<m>0[1-9]|1[0-2])(?P<d>[06][1-9]|[1278]\d|[39][01])(?:\s?[-–—+]\s?|\s)?\d{4}(?![\d\w])(?!-\d)"
 )
-_HOUSE = re.compile(r"[\s ]+\d{1,3}(?:[\s ]?[A-Ha-h])?(?!\w)(?![.:,]\d)")
+_HOUSE = re.compile(r"\s+\d{1,3}(?:\s?[A-Ha-h])?(?!\w)(?![.:,]\d)")
 _WORD = rf"{_L}(?:{_L}|['’-](?={_L}))*"
-_SURNAME = re.compile(rf"[\s ]+(?P<n>{_WORD})")
-_BEFORE_COMMA = re.compile(rf"(?P<n>{_WORD}),[\s ]+\Z")
+_SURNAME = re.compile(rf"\s+(?P<n>{_WORD})")
+_BEFORE_COMMA = re.compile(rf"(?P<n>{_WORD}),\s+\Z")
 _FURTHER = re.compile(rf"[\s -](?P<n>{_L}\.|{_L}+)(?!\w)")
 _TITLED = re.compile(rf"\.?[\s ]+(?:{_L}\.[\s ]?)*(?P<n>{_WORD})")
-_INITIALS = re.compile(rf"(?:{_L}\.[\s ]?){{1,4}}(?<=[\s ])(?P<n>{_WORD})")
-_SPACE = re.compile(r"[\s ]")
+_INITIALS = re.compile(rf"(?:{_L}\.\s?){{1,4}}(?<=\s)(?P<n>{_WORD})")
+_VOWEL = re.compile("[aeiouyåäöéæø]")
 
 
 def _lower(text: str) -> str:
@@ -253,6 +256,8 @@ class Finder:
     def _first(self, text: str, at: int, end: int, caseless: bool, seen: int):
         if not self._starts(text, at, caseless) or text[end : end + 1].isalpha():
             return None
+        if text[at:end].lower() in WORD_NAMES and not text[at:end].istitle():
+            return None
         start = at
         before = _BEFORE_COMMA.search(text, max(seen, start - 60), start)
         if before and self._surname(before, caseless) and before["n"].lower() not in self.names:
@@ -272,7 +277,7 @@ class Finder:
             return None
         if text[end : end + 1].isalnum():
             return None
-        m = re.compile(rf"\.?[\s ]+(?:{_L}\.[\s ]?)*(?P<n>{_WORD})").match(text, end)
+        m = re.compile(rf"\.?\s+(?:{_L}\.\s?)*(?P<n>{_WORD})").match(text, end)
         if not m or not self._surname(m, caseless):
             return None
         stop = m.end()
@@ -287,7 +292,7 @@ class Finder:
             return None
         if at and text[at - 1] not in " \n\t\r (\"'”“,;:/–<":
             return None
-        if re.search(r"\d[\s ]\Z|§\s?\Z", text[max(0, at - 2) : at]) or low.startswith(ABBREVIATIONS, at):
+        if re.search(r"\d\s\Z|§\s?\Z", text[max(0, at - 2) : at]) or low.startswith(ABBREVIATIONS, at):
             return None
         m = _INITIALS.match(text, at)
         if not m or not self._surname(m, False) or len(m["n"]) < 3:
