@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 for _name in (
     "personal",
+    "quality",
     "formatting",
     "encoding",
     "mixing",
