@@ -1,17 +1,21 @@
-"""Learned by ``quality_training`` from 12000 written documents; not edited by hand."""
+"""Learned by ``quality_training`` from 16000 written documents; not edited by hand."""
 
 RULES = [
-    ('junk', [('distinct_share', '<=', 0.3542), ('distinct_share', '<=', 0.2223), ('distinct_share', '<=', 0.151)]),
-    ('junk', [('symbol_share', '>', 0.1448), ('letter_share', '<=', 0.4459)]),
-    ('junk', [('mixed_token_share', '>', 0.3388)]),
-    ('junk', [('letter_share', '>', 0.9977), ('vowel_share', '<=', 0.1116)]),
-    ('junk', [('distinct_share', '<=', 0.224), ('digit_share', '<=', 0.0011)]),
-    ('table', [('digit_share', '>', 0.1159), ('mixed_token_share', '<=', 0.0172), ('field_share', '<=', 0.5), ('sentence_end_share', '<=', 0.0625), ('vowel_share', '<=', 0.2774), ('letter_share', '<=', 0.6935)]),
-    ('table', [('digit_share', '>', 0.105), ('mixed_token_share', '<=', 0.0172), ('distinct_share', '<=', 0.9909), ('symbol_share', '<=', 0.0531), ('common_share', '<=', 0.022)]),
-    ('table', [('digit_share', '>', 0.0936), ('column_line_share', '>', 0.7708), ('field_share', '<=', 0.5), ('letter_share', '<=', 0.7812)]),
+    ('junk', [('distinct_share', '<=', 0.3542), ('distinct_share', '<=', 0.2374), ('distinct_share', '<=', 0.126)]),
+    ('junk', [('symbol_share', '>', 0.1442), ('letter_share', '<=', 0.4479)]),
+    ('junk', [('vowel_share', '<=', 0.25), ('letter_share', '>', 0.7598), ('vowel_share', '<=', 0.2341)]),
+    ('junk', [('mixed_token_share', '>', 0.337)]),
+    ('junk', [('distinct_share', '<=', 0.213), ('letter_share', '>', 0.9903)]),
+    ('junk', [('distinct_share', '<=', 0.2249), ('mixed_token_share', '<=', 0.001), ('symbol_share', '>', 0.0181)]),
+    ('table', [('digit_share', '>', 0.1084), ('digit_share', '>', 0.3495), ('field_share', '<=', 0.5), ('common_share', '<=', 0.2)]),
+    ('table', [('digit_share', '>', 0.1004), ('column_line_share', '>', 0.5), ('field_share', '<=', 0.5), ('digit_share', '>', 0.1689), ('digit_share', '>', 0.2319)]),
+    ('table', [('digit_share', '>', 0.1065), ('clock_line_share', '>', 0.1875)]),
+    ('table', [('column_line_share', '>', 0.875), ('digit_share', '>', 0.1183), ('field_share', '<=', 0.5), ('symbol_share', '>', 0.0697)]),
+    ('table', [('digit_share', '>', 0.0844), ('symbol_share', '<=', 0.0045), ('common_share', '<=', 0.0434), ('column_line_share', '>', 0.2969)]),
     ('table', [('clock_line_share', '>', 0.5)]),
-    ('table', [('mean_word_length', '<=', 5.2094), ('words_per_item', '<=', 1.4774)]),
-    ('list', [('common_share', '<=', 0.0172), ('punctuated_line_share', '<=', 0.0812), ('symbol_share', '>', 0.0027)]),
-    ('list', [('common_share', '<=', 0.0279), ('words_per_item', '<=', 2.1785), ('sentence_end_share', '<=', 0.036)]),
+    ('list', [('common_share', '<=', 0.0147), ('punctuated_line_share', '<=', 0.0635), ('symbol_share', '>', 0.0094), ('symbol_share', '<=', 0.0579), ('words_per_item', '<=', 3.7174)]),
+    ('list', [('common_share', '<=', 0.0172), ('punctuated_line_share', '<=', 0.1548), ('symbol_share', '>', 0.028), ('words_per_item', '>', 1.3429), ('sentence_end_share', '<=', 0.0882)]),
+    ('list', [('common_share', '<=', 0.0361), ('punctuated_line_share', '<=', 0.1458), ('symbol_share', '>', 0.0189), ('sentence_end_share', '>', 0.2012)]),
+    ('list', [('common_share', '<=', 0.0392), ('sentence_end_share', '<=', 0.0249), ('words_per_item', '<=', 2.3474), ('digit_share', '<=', 0.0053)]),
 ]
 DEFAULT_KIND = 'prose'
