@@ -7,15 +7,17 @@ RULES = [
     ('junk', [('mixed_token_share', '>', 0.337)]),
     ('junk', [('distinct_share', '<=', 0.213), ('letter_share', '>', 0.9903)]),
     ('junk', [('distinct_share', '<=', 0.2249), ('mixed_token_share', '<=', 0.001), ('symbol_share', '>', 0.0181)]),
-    ('table', [('digit_share', '>', 0.1084), ('digit_share', '>', 0.3495), ('field_share', '<=', 0.5), ('common_share', '<=', 0.2)]),
-    ('table', [('digit_share', '>', 0.1004), ('column_line_share', '>', 0.5), ('field_share', '<=', 0.5), ('digit_share', '>', 0.1689), ('digit_share', '>', 0.2319)]),
-    ('table', [('digit_share', '>', 0.1065), ('clock_line_share', '>', 0.1875)]),
-    ('table', [('column_line_share', '>', 0.875), ('digit_share', '>', 0.1183), ('field_share', '<=', 0.5), ('symbol_share', '>', 0.0697)]),
-    ('table', [('digit_share', '>', 0.0844), ('symbol_share', '<=', 0.0045), ('common_share', '<=', 0.0434), ('column_line_share', '>', 0.2969)]),
+    ('junk', [('vowel_share', '>', 0.3218), ('distinct_share', '<=', 0.4139), ('distinct_share', '<=', 0.2787)]),
+    ('table', [('digit_share', '>', 0.1091), ('digit_share', '>', 0.3327), ('field_share', '<=', 0.5), ('digit_share', '>', 0.359), ('common_share', '<=', 0.1667)]),
+    ('table', [('digit_share', '>', 0.1058), ('column_line_share', '>', 0.6667), ('field_share', '<=', 0.5), ('symbol_share', '>', 0.0808)]),
     ('table', [('clock_line_share', '>', 0.5)]),
-    ('list', [('common_share', '<=', 0.0147), ('punctuated_line_share', '<=', 0.0635), ('symbol_share', '>', 0.0094), ('symbol_share', '<=', 0.0579), ('words_per_item', '<=', 3.7174)]),
-    ('list', [('common_share', '<=', 0.0172), ('punctuated_line_share', '<=', 0.1548), ('symbol_share', '>', 0.028), ('words_per_item', '>', 1.3429), ('sentence_end_share', '<=', 0.0882)]),
-    ('list', [('common_share', '<=', 0.0361), ('punctuated_line_share', '<=', 0.1458), ('symbol_share', '>', 0.0189), ('sentence_end_share', '>', 0.2012)]),
-    ('list', [('common_share', '<=', 0.0392), ('sentence_end_share', '<=', 0.0249), ('words_per_item', '<=', 2.3474), ('digit_share', '<=', 0.0053)]),
+    ('table', [('digit_share', '>', 0.2004), ('symbol_share', '<=', 0.0431), ('column_line_share', '>', 0.5)]),
+    ('table', [('column_line_share', '>', 0.9012), ('digit_share', '>', 0.0865), ('field_share', '<=', 0.5), ('digit_share', '>', 0.1685)]),
+    ('table', [('symbol_share', '>', 0.0709), ('symbol_share', '<=', 0.0808), ('column_line_share', '>', 0.6875), ('field_share', '<=', 0.0938)]),
+    ('list', [('common_share', '<=', 0.0172), ('punctuated_line_share', '<=', 0.1169), ('symbol_share', '>', 0.0224), ('sentence_end_share', '<=', 0.0268)]),
+    ('list', [('common_share', '<=', 0.0135), ('punctuated_line_share', '<=', 0.0508), ('symbol_share', '>', 0.0015), ('digit_share', '>', 0.0145), ('symbol_share', '>', 0.008)]),
+    ('list', [('common_share', '<=', 0.0486), ('sentence_end_share', '<=', 0.0185), ('words_per_item', '<=', 2.3734), ('common_share', '<=', 0.0041), ('digit_share', '<=', 0.0073)]),
+    ('list', [('common_share', '<=', 0.0478), ('punctuated_line_share', '<=', 0.0508), ('words_per_item', '<=', 2.8512), ('digit_share', '>', 0.036)]),
+    ('list', [('common_share', '<=', 0.0678), ('words_per_item', '<=', 2.0228), ('sentence_end_share', '<=', 0.0204), ('symbol_share', '>', 0.0)]),
 ]
 DEFAULT_KIND = 'prose'

@@ -226,15 +226,15 @@ def induce(x: np.ndarray, labels: np.ndarray, names: list[str], order: list[str]
     """Ordered rules, kind after kind, by incremental reduced-error pruning; the rest is the default kind."""
     rng, rules, left = np.random.default_rng(seed), [], np.ones(len(labels), bool)
     for kind in order:
-        while (left & (labels == kind)).sum() >= 8:
+        tries = 0
+        while (left & (labels == kind)).sum() >= 8 and tries < 6:
             ids = rng.permutation(np.flatnonzero(left))
             grown, pruned = ids[: len(ids) * 2 // 3], ids[len(ids) * 2 // 3 :]
             rule = grow(x[grown], labels[grown] == kind, [names.index(n) for n in USES[kind]])
-            if not rule:
-                break
-            rule, value = prune(x[pruned], labels[pruned] == kind, rule)
-            if value <= 0.8:
-                break
+            rule, value = prune(x[pruned], labels[pruned] == kind, rule) if rule else (rule, 0.0)
+            if value <= 0.9:  # try another split of the documents before giving up
+                tries += 1
+                continue
             rules.append((kind, [(names[j], s, c) for j, s, c in rule]))
             left &= ~covers(x, rule)
     return rules
