@@ -16,6 +16,8 @@ from itertools import chain
 
 import numpy as np
 
+from corpusloom.session import ship
+
 #: Fixed value: the public pattern that splits text before byte-level merges,
 #: with the white space of the Unicode property written out.
 _SPACE = r"\t-\r \u0085   -     　"
@@ -257,5 +259,6 @@ class Shared:
     """A broadcast of Merges (about 0.6 MB) with a key for the worker's cache."""
 
     def __init__(self, spark, path: str = DEFAULT_VOCABULARY):
+        ship(spark)
         self.value_key = path
         self.broadcast = spark.sparkContext.broadcast(read_merges(path))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.registry import query
-from corpusloom.session import table
+from corpusloom.session import ship, table
 
 KINDS = ("email", "idnum", "phone", "address", "name")
 PLACEHOLDER = {k: f"[{k.upper()}]" for k in KINDS}
@@ -308,6 +308,7 @@ def _finder() -> Finder:
 
 
 def _scan(df: DataFrame, key: str, content: str, redact: bool) -> DataFrame:
+    ship(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -26,6 +26,7 @@ def query(name: str, sql: str | None = None):
 for _name in (
     "personal",
     "quality",
+    "language",
     "formatting",
     "encoding",
     "mixing",
