@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="corpusloom-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(folder / "corpusloom-package.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(folder / "corpusloom-package.zip"))
+    sc._corpusloom_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the cluster names it.
 
