@@ -27,6 +27,7 @@ for _name in (
     "personal",
     "quality",
     "language",
+    "lookalike",
     "formatting",
     "encoding",
     "mixing",
