@@ -28,6 +28,7 @@ for _name in (
     "quality",
     "language",
     "lookalike",
+    "scanned",
     "survivor",
     "formatting",
     "encoding",
