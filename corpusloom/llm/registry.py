@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +20,3 @@ def query(name: str, sql: str | None = None):
         return f
 
     return register
-
-
-for _name in (
-    "personal",
-    "quality",
-    "language",
-    "lookalike",
-    "scanned",
-    "survivor",
-    "formatting",
-    "encoding",
-    "mixing",
-    "splitting",
-):
-    importlib.import_module(f"corpusloom.llm.{_name}")
