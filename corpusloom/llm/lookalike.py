@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.glyphs import compositions, one_form
 from corpusloom.llm.registry import query
-from corpusloom.session import table
+from corpusloom.session import cut, table
 
 #: Code points that change in no context but before a mark.
 _PLAIN = r"\x00-\x7FÀ-ÖØ-öø-ÿ"
@@ -157,7 +157,8 @@ def look_alike_pairs(df: DataFrame, key: str = "crawl_id", content: str = "conte
     rows = one_form_texts(df.where(F.col(content).rlike(r"[^\s\p{Z}]")), [key], content)
     rows = rows.select(
         F.col(key), "form", F.xxhash64(F.lit(7), "form").alias("f"), F.xxhash64(F.lit(8), content).alias("h")
-    ).where(F.col("form").rlike(r"\S"))
+    )
+    rows = cut(rows.where(F.col("form").rlike(r"\S")))  # three times read below
     several = rows.groupBy("f").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most").select("f")
     candidates = rows.join(several, "f", "left_semi")
     a = candidates.select("f", "form", F.col(key).alias(f"{key}_a"), F.col("h").alias("h_a"))
