@@ -420,7 +420,7 @@ def noisy_lines(scans: DataFrame, replacements: DataFrame) -> DataFrame:
     pages, fixes = read_pages(scans, replacements)
     roles = pages.select("scan_id", F.posexplode("roles").alias("line", "kind")).where(F.col("kind").isin("header", "page_number"))
     hyphens = pages.select("scan_id", F.explode("hyphens").alias("line")).unionByName(open_hyphens(pages))
-    wrong = F.udf(_wrong_line, "array<int>")
+    wrong = F.udf(_wrong_line, "array<int>", useArrow=True)
     words = pages.select("scan_id", F.posexplode("words").alias("i", "word"))
     misread = fixes.join(words, ["scan_id", "i"]).select(
         "scan_id", F.explode(wrong("w", "meant", "word.cut", "word.line", "word.line2")).alias("line"), F.lit("misread").alias("kind")
