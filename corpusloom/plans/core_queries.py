@@ -577,8 +577,8 @@ def pretoken_counts(spark, d):
 
 def _documents_as_packages(spark, d):
     docs = table(spark, d, "documents")
-    provider = R.word_provider(common(spark, d))
-    return docs.select("doc_id", F.coalesce(F.split("text", "\n\n+"), F.array().cast("array<string>")).alias("content")), provider
+    content = F.coalesce(F.split("text", "\n\n+"), F.array().cast("array<string>")).alias("content")
+    return docs.select("doc_id", "lang", content), R.label_provider(F.col("lang"))
 
 
 def _pipeline(name: str):

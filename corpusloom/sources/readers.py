@@ -37,8 +37,10 @@ def parse_packages(lines: DataFrame, value: str) -> DataFrame:
 def split_glued(lines: DataFrame, value: str = "value") -> DataFrame:
     """One JSON object per row where two are glued on a line; blank lines are skipped, intact ones untouched."""
     rows = lines.where(F.trim(value) != "").select(F.col(value).alias("value"))
-    intact = F.try_parse_json("value").isNotNull()
-    parts = F.when(intact, F.array("value")).otherwise(F.split(F.regexp_replace("value", r"\}\{", "}\n{"), "\n"))
+    cut = F.split(F.regexp_replace("value", r"\}\{", "}\n{"), "\n")
+    # a brace pair within a text gives parts that don't parse
+    glued = F.forall(cut, lambda x: F.try_parse_json(x).isNotNull())
+    parts = F.when(glued, cut).otherwise(F.array("value"))
     return rows.select(F.explode(parts).alias("value")).where(F.try_parse_json("value").isNotNull())
 
 
