@@ -242,7 +242,7 @@ class Finder:
     def _surname(m, caseless: bool) -> bool:
         n = m["n"]
         low = n.lower()
-        if len(n) < 3 or low in NOT_SURNAMES or low.endswith("ade") or not _VOWEL.search(low):
+        if len(n) < (2 if n.istitle() else 3) or low in NOT_SURNAMES or low.endswith("ade") or not _VOWEL.search(low):
             return False
         return caseless or n[0].isupper()
 
@@ -295,7 +295,7 @@ class Finder:
         if re.search(r"\d\s\Z|§\s?\Z", text[max(0, at - 2) : at]) or low.startswith(ABBREVIATIONS, at):
             return None
         m = _INITIALS.match(text, at)
-        if not m or not self._surname(m, False) or len(m["n"]) < 3:
+        if not m or not self._surname(m, False):
             return None
         return m.start(), m.end()
 
