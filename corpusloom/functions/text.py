@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from corpusloom.functions.patterns import ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, TOKEN, WS, W
+from corpusloom.functions.patterns import ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, TOKEN, WS, W, quick
 
 
 def token_count(text: Column) -> Column:
@@ -41,13 +41,15 @@ def anonymize(text: Column) -> Column:
             out = F.when(match.rlike(f"^(?:{pattern})$"), by).otherwise(out)
         return out
 
-    return replace_matches(text, "|".join(p for p, _ in ANONYMOUS), replaced)
+    # every pattern needs an at-sign or six digits, so most texts are spared the costly one
+    found = replace_matches(text, "|".join(quick(p) for p, _ in ANONYMOUS), replaced)
+    return F.when(text.rlike("@|[0-9]{6}"), found).otherwise(text)
 
 
 def anonymize_sequential(text: Column) -> Column:
     """The same patterns one after the other, each on the result of the one before."""
     for pattern, by in ANONYMOUS_SEQUENCE:
-        text = F.regexp_replace(text, pattern, by)
+        text = F.regexp_replace(text, quick(pattern), by)
     return text
 
 
@@ -71,18 +73,31 @@ def replace_words(text: Column, words: Mapping[str, str]) -> Column:
     """
     if not words:
         return text
-    escape = lambda s: "".join("\\" + c if not (c.isalnum() or c == "_") else c for c in s)
-    keys = "|".join(escape(k) for k in sorted(words, key=lambda k: (-len(k), k)))
-    pattern = f"(?:^|[^{W}])(?:{keys})(?:[^{W}]|$)"
     table = F.create_map(*(F.lit(x) for pair in sorted(words.items()) for x in pair))
 
     def replaced(match: Column) -> Column:
-        key = F.regexp_extract(match, f"(?s)^(?:^|[^{W}])({keys})(?:[^{W}]|$)$", 1)
-        before = F.regexp_extract(match, f"(?s)^((?:^|[^{W}]))(?:{keys})(?:[^{W}]|$)$", 1)
-        after = F.regexp_extract(match, f"(?s)^(?:^|[^{W}])(?:{keys})((?:[^{W}]|$))$", 1)
-        return F.concat(before, table[key], after)
+        n, rest = F.length(match), F.substring(match, F.lit(2), F.length(match))
+        # with a character before and after the word, only before, only after, or neither
+        both, before, after = F.substring(match, F.lit(2), n - 2), rest, F.substring(match, F.lit(1), n - 1)
+        first, last = F.substring(match, 1, 1), F.substring(match, -1, 1)
+        return F.coalesce(
+            F.concat(first, table[both], last), F.concat(first, table[before]), F.concat(table[after], last), table[match]
+        )
+
+    return replace_matches(text, f"(?:^|[^{W}])(?:{_alternatives(list(words))})(?:[^{W}]|$)", replaced)
 
-    return replace_matches(text, pattern, replaced)
+
+def _alternatives(keys: list[str], depth: int = 0) -> str:
+    """A pattern of the keys, longest first, branching by their first two letters so that few are tried at a place."""
+    escape = lambda s: "".join("\\" + c if not (c.isalnum() or c == "_") else c for c in s)
+    if depth == 2 or len(keys) < 4:
+        return "|".join(escape(k[depth:]) for k in sorted(keys, key=lambda k: (-len(k), k)))
+    branches: dict[str, list[str]] = {}
+    for k in keys:
+        branches.setdefault(k[depth : depth + 1], []).append(k)
+    ends = branches.pop("", None)  # a key that ends here comes after the longer ones
+    parts = [f"{escape(c)}(?:{_alternatives(ks, depth + 1)})" for c, ks in sorted(branches.items())]
+    return "|".join([*parts, ""] if ends else parts)
 
 
 def plain_punctuation(text: Column) -> Column:

@@ -66,6 +66,8 @@ ANON = ["8001011234@mail.com", "800101-1234 och 19800101 - 1234.", "@nick @ nick
 
 def test_anonymize(spark):
     assert column(spark, ANON, T.anonymize) == [anonymous_model(v) for v in ANON]
+    long = ["x" * 40_000 + " 123456 a@b.se", "a.b." * 9_000 + "c@d.e"]
+    assert column(spark, long, T.anonymize) == [v[: v.rfind(" ") + 1] + "MEJLADRESS" for v in long]
     assert column(spark, ["8001011234@mail.com", None], T.anonymize) == ["XXXXXXXXXXNICK.com", None]
     assert column(spark, ["8001011234@mail.com"], T.anonymize_sequential) == ["MEJLADRESS"]
 
