@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.patterns import WS
-from corpusloom.functions.text import token_count
 
 
 def perplexity(log10: Column, length: Column) -> Column:
@@ -78,5 +77,3 @@ def incomplete(scores: DataFrame, package: str) -> DataFrame:
     gaps = scores.groupBy(package).agg(F.max(F.col("score").isNull().cast("int")).alias("gap"))
     return gaps.agg(F.count("*").alias("packages"), F.sum("gap").alias("incomplete"))
 
-
-__all__ = ["bigram_scores", "choice_score", "incomplete", "length_discount", "perplexity", "scored_packages", "token_count", "unigram_scores", "with_scores"]
