@@ -1,15 +1,19 @@
-"""Near duplicates: min-hash fingerprints, banding, verified edges, and choice of representatives."""
+"""Near duplicates: min-hash fingerprints, banding, exact search of similar pairs, and choice of representatives."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.session import cut, ship
 
 SEEDS, BANDS, NGRAM = 100, 10, 5
+#: Shingles of a block of texts, which bounds the memory of a task, and partitions of the pairs of blocks.
+BLOCK, CELLS = 4_000_000, 96
 
 
 def _multipliers(seeds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,28 +93,176 @@ def text_classes(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return docs.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.min(key).alias("rep"), F.count("*").alias("copies"))
 
 
-def similar_pairs(
-    docs: DataFrame, key: str, text: str = "text", above: float = 0.5, kind: str = "union", count: int = BANDS, seeds: int = SEEDS
-) -> DataFrame:
-    """``(src, dst, jaccard)``, ``src < dst``: pairs of representatives of distinct texts more similar than ``above``.
+def _sized(texts: DataFrame, key: str) -> DataFrame:
+    """``(key, text, size)``: texts that have shingles, with their number."""
+    key_type = texts.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            sizes = pa.array([len(gram_hashes(t)) for t in batch.column(1).to_pylist()], pa.int64())
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes], names=[key, "text", "size"])
+            yield out.filter(pc.greater(sizes, 0))
+
+    return texts.select(key, "text").mapInArrow(run, f"`{key}` {key_type}, text string, size bigint")
+
+
+def _blocks(bins: list, above: float) -> tuple[list[tuple], list[tuple]]:
+    """Blocks of texts of near sizes, each of about ``BLOCK`` shingles, from ``(bin, n, size, least, most)`` in order of size.
+
+    ``(bin, first block, number of blocks)``: a bin above the bound is dealt
+    over several blocks; and ``(block, from, to)``: the blocks that may hold
+    texts similar to those of a block.
+    """
+    bound = min(BLOCK, max(sum(b["size"] for b in bins) // 4, BLOCK // 40))
+    of_bin, spans, filled = [], [], None
+    for b in bins:
+        parts = -(-b["size"] // bound)
+        if parts == 1 and filled is not None and filled + b["size"] <= bound:
+            filled += b["size"]
+            spans[-1] = (spans[-1][0], b["most"])
+            of_bin.append((b["bin"], len(spans) - 1, 1))
+            continue
+        of_bin.append((b["bin"], len(spans), parts))
+        spans += [(b["least"], b["most"])] * parts
+        filled = b["size"] if parts == 1 else None
+    near = []
+    for i, (least, most) in enumerate(spans):
+        first, last = i, i
+        while first > 0 and spans[first - 1][1] > above * least:
+            first -= 1
+        while last + 1 < len(spans) and most > above * spans[last + 1][0]:
+            last += 1
+        near.append((i, first, last))
+    return of_bin, near
+
+
+def _packed(batches):
+    """Rows of a batch by block, their keys and texts compressed as one value, since each block travels to several tasks."""
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))
+    for batch in batches:
+        out: list[tuple] = []
+        for block in pc.unique(batch.column("block")).to_pylist():
+            rows = batch.filter(pc.equal(batch.column("block"), block))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.select([0, 1]).schema, options=options) as writer:
+                writer.write_batch(rows.select([0, 1]))
+            out.append((block, rows.column("low")[0].as_py(), rows.column("high")[0].as_py(), sink.getvalue().to_pybytes()))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=["block", "low", "high", "texts"])
+
+
+def _needed(a, b, above: float, kind: str):
+    """The least number of shared shingles with which sets of these sizes are similar."""
+    share = {"union": (a + b) * (above / (1 + above)), "max": np.maximum(a, b) * above}[kind]
+    # a little less, lest rounding loses a pair; every pair is verified
+    return np.maximum(np.floor(share - 1e-6).astype(np.int64) + 1, 1)
+
+
+class _Side:
+    """Shingle sets of a block, by size, and of each its rarest shingles."""
+
+    def __init__(self, packs: list[bytes]):
+        rows = (pa.ipc.open_stream(p).read_all() for p in packs)
+        found = [(gram_hashes(t), k) for r in rows for k, t in zip(r.column(0).to_pylist(), r.column(1).to_pylist())]
+        found.sort(key=lambda x: len(x[0]))
+        self.grams, self.keys = [g for g, _ in found], [k for _, k in found]
+        self.sizes = np.array([len(g) for g in self.grams], np.int64)
+
+    def count(self, counts: np.ndarray) -> None:
+        for g in self.grams:
+            np.add.at(counts, (g >> np.uint64(42)).astype(np.int64), 1)
+
+    def order(self, counts: np.ndarray, rest: float) -> None:
+        """Rarest shingles first; all but the share ``rest`` of a set are its prefix, equal places together."""
+        self.prefix, self.left, self.last = [], np.zeros(len(self.grams), np.int64), np.zeros(len(self.grams), np.uint64)
+        for i, g in enumerate(self.grams):
+            c = np.minimum(counts[(g >> np.uint64(42)).astype(np.int64)], 2**20 - 1).astype(np.uint64)
+            places = np.sort((c << np.uint64(44)) | (g >> np.uint64(20)))
+            at = len(places) - int(rest * len(places))
+            while at < len(places) and places[at] == places[at - 1]:
+                at += 1
+            self.left[i], self.last[i] = len(places) - at, places[at - 1]
+            self.prefix.append(places[np.searchsorted(places, np.uint64(2 << 44)) : at])  # a shingle that is met once has no partner
+
+
+def _similar_in(a: _Side, b: _Side, same: bool, above: float, kind: str):
+    """``(key, key, shared, size, size)`` of the similar pairs of two blocks, or within one.
+
+    Of two ordered sets that share ``s`` shingles the prefixes share at least
+    ``s`` less what is left of the set whose prefix ends first.
+    """
+    counts = np.zeros(2**22, np.int64)
+    for side in [a] if same else [a, b]:
+        side.count(counts)
+    rest = 0.8 * above
+    for side in [a] if same else [a, b]:
+        side.order(counts, rest)
+    places = np.concatenate(a.prefix)
+    owner = np.repeat(np.arange(len(a.prefix)), [len(p) for p in a.prefix])
+    by_place = np.argsort(places, kind="stable")
+    places, owner = places[by_place], owner[by_place]
+    starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]])) if len(places) else np.zeros(0, np.int64)
+    known, ends = places[starts], np.append(starts[1:], len(places))
+    if not len(known):
+        return
+    for j, (prefix, size) in enumerate(zip(b.prefix, b.sizes)):
+        at = np.minimum(np.searchsorted(known, prefix), len(known) - 1)
+        at = at[known[at] == prefix]
+        if not len(at):
+            continue
+        hits = np.bincount(np.concatenate([owner[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]), minlength=len(a.keys))
+        if same:
+            hits = hits[:j]
+        largest = max(size, a.sizes[-1]) if not same else size
+        likely = np.flatnonzero(hits >= max(1, int(above * size - 1e-6) + 1 - int(rest * largest)))
+        needed = _needed(a.sizes[likely], size, above, kind)
+        left = np.where(a.last[likely] <= b.last[j], a.left[likely], b.left[j])
+        for i in likely[hits[likely] >= needed - left].tolist():
+            small, large = sorted((a.grams[i], b.grams[j]), key=len)
+            shared = int(np.count_nonzero(large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small))
+            whole = {"union": len(small) + len(large) - shared, "min": len(small), "max": len(large)}[kind]
+            if shared / whole > above:
+                yield a.keys[i], b.keys[j], shared / whole
+
+
+def similar_pairs(docs: DataFrame, key: str, text: str = "text", above: float = 0.5, kind: str = "union") -> DataFrame:
+    """``(src, dst, jaccard)``, ``src < dst``: all pairs of representatives of distinct texts more similar than ``above``.
 
     Copies of a text are represented by the smallest key; ``text_classes`` has
-    the membership.  Candidates share a band; every one is verified on the whole
-    shingle sets.  A bucket's pairs are formed among distinct texts only, by an
-    equi-join that adaptive execution splits where a bucket is hot.
+    the membership.  The search is exact: texts are dealt into blocks of near
+    sizes, blocks whose sizes allow similar texts meet in one task, and there
+    prefixes of the rarest shingles give the candidates, which are verified on
+    the whole sets.  The work grows with the number of pairs of texts of near sizes.
     """
-    texts = cut(text_classes(docs, key, text))
-    buckets = cut(bands(fingerprints(texts, "rep", "text", seeds), "rep", count, seeds))
-    shared = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
-    near = buckets.join(shared, ["band", "bucket"])
-    left, right = near.withColumnRenamed("rep", "src"), near.withColumnRenamed("rep", "dst")
-    pairs = left.join(right, ["band", "bucket"]).where("src < dst").select("src", "dst").distinct()
-    pairs = cut(pairs)
-    needed = pairs.select(F.col("src").alias("rep")).unionByName(pairs.select(F.col("dst").alias("rep"))).distinct()
-    sets = cut(shingle_sets(texts.join(needed, "rep", "left_semi"), "rep"))
-    verified = pairs.join(sets.select(F.col("rep").alias("src"), F.col("grams").alias("a")), "src")
-    verified = verified.join(sets.select(F.col("rep").alias("dst"), F.col("grams").alias("b")), "dst")
-    return verified.select("src", "dst", jaccard(F.col("a"), F.col("b"), kind).alias("jaccard")).where(F.col("jaccard") > above)
+    if above < 0:
+        raise ValueError("the similarity must be at least 0")
+    ship(docs.sparkSession)
+    texts = cut(_sized(text_classes(docs, key, text), "rep"))
+    key_type = texts.schema["rep"].dataType.simpleString()
+    bin_ = F.floor(F.log("size") / F.lit(np.log(1.05).item()))
+    bins = texts.groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("size").alias("least"), F.max("size").alias("most"))
+    of_bin, near = _blocks(sorted(bins.collect(), key=lambda r: r["bin"]), above)
+    spark = docs.sparkSession
+    of_bin = spark.createDataFrame(of_bin, "bin bigint, first bigint, parts bigint")
+    near = spark.createDataFrame(near, "block bigint, low bigint, high bigint")
+    dealt = texts.withColumn("bin", bin_).join(F.broadcast(of_bin), "bin")
+    dealt = dealt.withColumn("block", F.col("first") + F.pmod(F.xxhash64("rep"), "parts")).join(F.broadcast(near), "block")
+    dealt = dealt.select("rep", "text", "block", "low", "high").mapInArrow(_packed, "block bigint, low bigint, high bigint, texts binary")
+    cells = dealt.select("texts", "block", F.explode(F.sequence("low", "high")).alias("other"))
+    cells = cells.select("texts", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    arrow = to_arrow_type(texts.schema["rep"].dataType)
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
+        packs: dict[int, list[bytes]] = {a: [], b: []}
+        for block, pack in zip(table.column("block").to_pylist(), table.column("texts").to_pylist()):
+            packs[block].append(pack)
+        sides = [_Side(p) for _, p in sorted(packs.items())]
+        found = list(_similar_in(sides[0], sides[-1], a == b, above, kind)) if all(s.keys for s in sides) else []
+        return pa.Table.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((arrow, arrow, pa.float64()))], names=["x", "y", "jaccard"])
+
+    pairs = cells.repartition(CELLS, "a", "b").groupBy("a", "b").applyInArrow(run, f"x {key_type}, y {key_type}, jaccard double")
+    return pairs.select(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst"), "jaccard")
 
 
 def merged(edges: DataFrame) -> DataFrame:

@@ -221,6 +221,34 @@ def test_similar_pairs_against_brute_force(spark):
     assert D.similar_pairs(df.where("false"), "i").count() == 0
 
 
+def pairs_model(texts, kind, above=0.5):
+    grams = [{t[k : k + 5] for k in range(len(t) - 5)} if t else set() for t in texts]
+    first = {t: i for i, t in reversed(list(enumerate(texts)))}
+    reps = [i for i, t in enumerate(texts) if grams[i] and first[t] == i]
+    whole = {"union": lambda a, b: len(a | b), "min": lambda a, b: min(len(a), len(b)), "max": lambda a, b: max(len(a), len(b))}[kind]
+    found = {(a, b): len(grams[a] & grams[b]) / whole(grams[a], grams[b]) for a in reps for b in reps if a < b}
+    return {pair: s for pair, s in found.items() if s > above}
+
+
+def graded_texts():
+    """Texts that share from a third to all of their characters, some contained in longer ones, short ones and copies."""
+    rng = random.Random(4)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base = [draw(rng.choice([60, 200, 200, 900])) for _ in range(12)]
+    texts = base + [t[: len(t) * k // 12] + draw(len(t) - len(t) * k // 12) for t in base for k in range(4, 12)]
+    return texts + [t[a : a + n] for t in base for a, n in ((3, 12), (10, 40))] + ["abcdef", "abcdefg", base[0], None, "", "kort"]
+
+
+@pytest.mark.parametrize("kind, block", [("union", 4_000_000), ("union", 3000), ("max", 3000)])
+def test_similar_pairs_are_all_found(spark, monkeypatch, kind, block):
+    monkeypatch.setattr(D, "BLOCK", block)
+    texts = graded_texts()
+    got = D.similar_pairs(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "i", kind=kind).collect()
+    want = pairs_model(texts, kind)
+    assert len(got) == len(want) and {(r["src"], r["dst"]): r["jaccard"] for r in got} == pytest.approx(want)
+    assert sum(s < 0.7 for s in want.values()) > 20
+
+
 def test_jaccard_kinds(spark):
     df = spark.createDataFrame([(["a", "b", "c"], ["b", "c", "d", "e"], [])], "a array<string>, b array<string>, e array<string>")
     r = df.select(*(D.jaccard(F.col("a"), F.col("b"), k) for k in ("union", "min", "max")), D.jaccard(F.col("a"), F.col("e"))).first()
