@@ -106,7 +106,7 @@ def _sized(texts: DataFrame, key: str) -> DataFrame:
     return texts.select(key, "text").mapInArrow(run, f"`{key}` {key_type}, text string, size bigint")
 
 
-def _blocks(bins: list, above: float) -> tuple[list[tuple], list[tuple]]:
+def _blocks(bins: list, above: float, kind: str) -> tuple[list[tuple], list[tuple]]:
     """Blocks of texts of near sizes, each of about ``BLOCK`` shingles, from ``(bin, n, size, least, most)`` in order of size.
 
     ``(bin, first block, number of blocks)``: a bin above the bound is dealt
@@ -125,6 +125,8 @@ def _blocks(bins: list, above: float) -> tuple[list[tuple], list[tuple]]:
         of_bin.append((b["bin"], len(spans), parts))
         spans += [(b["least"], b["most"])] * parts
         filled = b["size"] if parts == 1 else None
+    if kind == "min":  # a text of any size may be contained in a longer one
+        return of_bin, [(i, 0, len(spans) - 1) for i in range(len(spans))]
     near = []
     for i, (least, most) in enumerate(spans):
         first, last = i, i
@@ -153,7 +155,7 @@ def _packed(batches):
 
 def _needed(a, b, above: float, kind: str):
     """The least number of shared shingles with which sets of these sizes are similar."""
-    share = {"union": (a + b) * (above / (1 + above)), "max": np.maximum(a, b) * above}[kind]
+    share = {"union": (a + b) * (above / (1 + above)), "min": np.minimum(a, b) * above, "max": np.maximum(a, b) * above}[kind]
     # a little less, lest rounding loses a pair; every pair is verified
     return np.maximum(np.floor(share - 1e-6).astype(np.int64) + 1, 1)
 
@@ -189,7 +191,8 @@ def _similar_in(a: _Side, b: _Side, same: bool, above: float, kind: str):
     """``(key, key, shared, size, size)`` of the similar pairs of two blocks, or within one.
 
     Of two ordered sets that share ``s`` shingles the prefixes share at least
-    ``s`` less what is left of the set whose prefix ends first.
+    ``s`` less what is left of the set whose prefix ends first.  For ``min`` the
+    larger set is searched whole, so that only the smaller one's prefix counts.
     """
     counts = np.zeros(2**22, np.int64)
     for side in [a] if same else [a, b]:
@@ -205,6 +208,9 @@ def _similar_in(a: _Side, b: _Side, same: bool, above: float, kind: str):
     known, ends = places[starts], np.append(starts[1:], len(places))
     if not len(known):
         return
+    left_of_a, last_of_a = a.left, a.last
+    if kind == "min":
+        b.order(counts, 0.0)
     for j, (prefix, size) in enumerate(zip(b.prefix, b.sizes)):
         at = np.minimum(np.searchsorted(known, prefix), len(known) - 1)
         at = at[known[at] == prefix]
@@ -214,9 +220,10 @@ def _similar_in(a: _Side, b: _Side, same: bool, above: float, kind: str):
         if same:
             hits = hits[:j]
         largest = max(size, a.sizes[-1]) if not same else size
-        likely = np.flatnonzero(hits >= max(1, int(above * size - 1e-6) + 1 - int(rest * largest)))
+        least = 1 if kind == "min" else max(1, int(above * size - 1e-6) + 1 - int(rest * largest))
+        likely = np.flatnonzero(hits >= least)
         needed = _needed(a.sizes[likely], size, above, kind)
-        left = np.where(a.last[likely] <= b.last[j], a.left[likely], b.left[j])
+        left = np.where(last_of_a[likely] <= b.last[j], left_of_a[likely], b.left[j])
         for i in likely[hits[likely] >= needed - left].tolist():
             small, large = sorted((a.grams[i], b.grams[j]), key=len)
             shared = int(np.count_nonzero(large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small))
@@ -241,7 +248,7 @@ def similar_pairs(docs: DataFrame, key: str, text: str = "text", above: float =
     key_type = texts.schema["rep"].dataType.simpleString()
     bin_ = F.floor(F.log("size") / F.lit(np.log(1.05).item()))
     bins = texts.groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.min("size").alias("least"), F.max("size").alias("most"))
-    of_bin, near = _blocks(sorted(bins.collect(), key=lambda r: r["bin"]), above)
+    of_bin, near = _blocks(sorted(bins.collect(), key=lambda r: r["bin"]), above, kind)
     spark = docs.sparkSession
     of_bin = spark.createDataFrame(of_bin, "bin bigint, first bigint, parts bigint")
     near = spark.createDataFrame(near, "block bigint, low bigint, high bigint")

@@ -239,7 +239,7 @@ def graded_texts():
     return texts + [t[a : a + n] for t in base for a, n in ((3, 12), (10, 40))] + ["abcdef", "abcdefg", base[0], None, "", "kort"]
 
 
-@pytest.mark.parametrize("kind, block", [("union", 4_000_000), ("union", 3000), ("max", 3000)])
+@pytest.mark.parametrize("kind, block", [("union", 4_000_000), ("union", 3000), ("max", 3000), ("min", 4_000_000), ("min", 3000)])
 def test_similar_pairs_are_all_found(spark, monkeypatch, kind, block):
     monkeypatch.setattr(D, "BLOCK", block)
     texts = graded_texts()
