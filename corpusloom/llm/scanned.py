@@ -5,7 +5,7 @@ every rare word gets as candidates the corpus words that it may be a misreading
 of, and a Viterbi search over each line weighs confusion probabilities against
 corpus bigrams.  Running headers are lines whose text, with confusable
 characters folded, recurs over the corpus beside a page number, a date or in
-capitals; page numbers are lines that hold their page's number; hyphens at line
+capitals, at the edge of pages; page numbers are lines that hold their page's number; hyphens at line
 ends count where a word goes on in the next line of running text.
 """
 
@@ -27,9 +27,9 @@ from corpusloom.session import cut, ship, table
 HYPHENS = "-‐‑¬=\xad"
 #: Words after a hyphen that belongs to the word, as in "in- och utförsel".
 SUSPENDING = ("och", "eller", "samt", "till", "respektive")
-#: A recurring line is a header from this many occurrences, and at least one in HEADER_SHARE pages; by that
-#: share there are at most LINES x HEADER_SHARE such texts, whatever the corpus.
-HEADER_LEAST, HEADER_SHARE = 5, 1500
+#: A line at the edge of at least so many pages of a package is a header; so is one that recurs so often in the
+#: corpus, in capitals or with a number or date, and stands at a page's edge in at least this share.
+IN_PACKAGE, IN_CAPITALS, NUMBERED, AT_EDGE = 2, 5, 3, 2 / 3
 #: Prior probability that a word is misread, and how far above the expected number of misreadings a count may lie.
 ERROR, SLACK = 0.05, 4.0
 #: What a word that all misreadings explain still counts for, and one with a sign or digit among its letters.
@@ -39,11 +39,7 @@ BIGRAM = 50.0
 #: Known misreadings are a fixed table.
 MAX_REPLACEMENTS = 100_000
 
-_DATE = re.compile(
-    r"(?:(?:mån|tis|ons|tors|fre|lör|sön)dag(?:en)?\s+)?(?:den\s+)?\d{1,2}[:.]?[ea]?\s+"
-    r"(?:januari|februari|mars|april|maj|juni|juli|augusti|september|oktober|november|december)(?:\s+\d{4})?",
-    re.I,
-)
+_DATE = re.compile(r"(?:(?<!\S)(?!d[ec](?:n|ri)\s)(\S+)\s+)?(?<!\S)(?:d[ec](?:n|ri)\s+)?\d{1,2}[:.]?[ea]?\s+(?!d[ec](?:n|ri)\s)([^\W\d_]+\w*)(?:\s+\d{4})?", re.I)
 _PAGE = re.compile(r"\W*(?:sid(?:an|a)?\.?|s\.)?\s*\W*(\d{1,5})\W*\Z", re.I)
 _EDGE = ".,;:!?\"”“'’()[]…–—»*"
 _FOLDS = (
@@ -61,10 +57,22 @@ def folded(text: str) -> str:
     return re.sub(r"[\W\d_]+", "", low)
 
 
+#: Names of days and months, as they are and as they are misread.
+_DAYS = frozenset(folded(d + end) for d in "måndag tisdag onsdag torsdag fredag lördag söndag".split() for end in ("", "en"))
+_MONTHS = frozenset(map(folded, "januari februari mars april maj juni juli augusti september oktober november december".split()))
+
+
+def _undated(m: re.Match) -> str:
+    """A date as a space, with its weekday; what is none as it is."""
+    if folded(m[2]) not in _MONTHS:
+        return m[0]
+    return " " if m[1] is None or folded(m[1]) in _DAYS else f"{m[1]} "
+
+
 def header_form(line: str, page_no: int | None) -> str | None:
     """The folded text of a line that has the form of a running header, else null: with its page's number or a date, or in capitals."""
     text = line.strip()
-    rest = _DATE.sub(" ", text)
+    rest = _DATE.sub(_undated, text)
     dated = rest != text
     if page_no is not None:
         numbered = re.sub(rf"^{page_no}(?!\d)|(?<!\d){page_no}$", " ", rest.strip())
@@ -143,34 +151,54 @@ def goes_on(after: str) -> bool:
     return bool(first) and not first[0].isupper() and not first.isdigit() and first.lower() not in SUSPENDING
 
 
-def recurring_headers(scans: DataFrame) -> frozenset[str]:
-    """Folded texts of the running headers of the corpus, at most lines per page x HEADER_SHARE of them."""
+def header_lines(scans: DataFrame) -> DataFrame:
+    """``(scan_id, pkey, page_no, form, edge, capitals)`` of the lines that have the form of a header; the first and last lines besides page numbers are a page's edge."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for content, no in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out += [f for line in (content or "").split("\n") if line.strip() and (f := header_form(line, no))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["form"])
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                lines = [x for x in (r["content"] or "").split("\n") if x.strip() and not is_page_number(x, r["page_no"])]
+                for k, line in enumerate(lines):
+                    if form := header_form(line, r["page_no"]):
+                        text = line.strip()
+                        out.append((r["scan_id"], r["pkey"], r["page_no"], form, int(k in (0, len(lines) - 1)), int(text == text.upper())))
+            types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32())
+            names = ["scan_id", "pkey", "page_no", "form", "edge", "capitals"]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=names)
 
-    pages = scans.where(F.col("content").rlike(r"\S")).count()
-    forms = scans.select("content", "page_no").mapInArrow(run, "form string").groupBy("form").agg(F.count("*").alias("n"))
-    least = max(HEADER_LEAST, pages // HEADER_SHARE)
-    return frozenset(r["form"] for r in forms.where(F.col("n") >= least).select("form").collect())
+    rows = scans.select("scan_id", package_key(F.col("package_id")).alias("pkey"), "page_no", "content")
+    return rows.mapInArrow(run, "scan_id bigint, pkey string, page_no int, form string, edge int, capitals int")
+
+
+def recurring_headers(scans: DataFrame) -> DataFrame:
+    """``(scan_id, headers)``: the folded texts of the running headers of every scan that has any.
+
+    A header recurs at the edge of pages, of one package or over the corpus;
+    headlines that recur in a large corpus stand anywhere.
+    """
+    lines = cut(header_lines(scans))
+    n = F.count("*")
+    known = lines.groupBy("form").agg(n.alias("n"), F.sum("edge").alias("edge"), F.sum("capitals").alias("capitals"))
+    often = (F.col("n") >= IN_CAPITALS) | ((F.col("n") >= NUMBERED) & (F.col("capitals") < F.col("n")))
+    over_all = known.where(often & (F.col("edge") >= AT_EDGE * F.col("n"))).select("form")
+    placed = lines.where("edge = 1 AND pkey IS NOT NULL AND page_no IS NOT NULL").select("pkey", "form", "page_no").distinct()
+    within = placed.groupBy("pkey", "form").agg(n.alias("n")).where(F.col("n") >= IN_PACKAGE).select("form")
+    headers = over_all.unionByName(within).distinct()
+    return lines.join(headers, "form").groupBy("scan_id").agg(F.collect_set("form").alias("headers"))
 
 
 _WORD = "array<struct<w: string, line: int, line2: int, cut: int>>"
 
 
-def parsed(scans: DataFrame, headers: frozenset[str]) -> DataFrame:
+def parsed(scans: DataFrame, headers: DataFrame) -> DataFrame:
     """Pages with the roles of their lines and the words of their running text."""
-    shared = scans.sparkSession.sparkContext.broadcast(headers)
 
     def run(batches):
         for batch in batches:
             out: list[dict] = []
             for r in batch.to_pylist():
-                p = Page(r["content"] or "", r["page_no"], shared.value)
+                p = Page(r["content"] or "", r["page_no"], frozenset(r["headers"] or ()))
                 out.append(
                     {
                         "scan_id": r["scan_id"],
@@ -200,8 +228,8 @@ def parsed(scans: DataFrame, headers: frozenset[str]) -> DataFrame:
             ("words", pa.list_(word)),
         ]
     )
-    rows = scans.select(
-        "scan_id", package_key(F.col("package_id")).alias("pkey"), "page_no", F.col("scanned_at").cast("timestamp_ntz"), "content"
+    rows = scans.join(headers, "scan_id", "left").select(
+        "scan_id", package_key(F.col("package_id")).alias("pkey"), "page_no", F.col("scanned_at").cast("timestamp_ntz"), "content", "headers"
     )
     schema = (
         "scan_id bigint, pkey string, page_no int, scanned_at timestamp_ntz, roles array<string>, hyphens array<int>, "

@@ -68,6 +68,16 @@ def scans(spark, rows):
     return spark.createDataFrame(rows, "scan_id long, package_id string, page_no int, content string, scanned_at timestamp, roles string")
 
 
+def test_headers_recur_at_the_edge_in_tables_of_any_size(spark):
+    page = lambda k, head, text: (k, f"p{k % 7}", k, f"{head}\n\nen rad text\n{text}\nmer text", at(1), "")
+    date = lambda k: ("Fredagen", "fredageri", "Söridagen")[k % 3]
+    rows = [page(k, f"Byns Blad {date(k)} den {1 + k % 28} maj 1978", "VÄGMÖTET I BYN") for k in range(1, 41)]
+    rows += [(100 + k, "liten", k, f"Från salen {k}\n\nen rad text", at(1), "") for k in (1, 2)]
+    rows += [(200, "annan", 9, "text\nFrån torget 9\ntext", at(1), "")]
+    got = {(r["scan_id"], r["line_no"]) for r in scanned.noisy_lines(scans(spark, rows), replacements(spark)).collect() if r["kind"] == "header"}
+    assert got == {(k, 1) for k in [*range(1, 41), 101, 102]}
+
+
 def test_noisy_lines(spark):
     rows = [(i, "bib1", 2, PAGE, at(1), "") for i in range(8)]
     rows += [(20, "bib1", 3, "Det var marknadcn vid harnnen.\nSist på sidan kom hamn-", at(1), ""), (21, "bib 0001", 4, "nen fram.\nSlut.", at(1), "")]
