@@ -11,25 +11,26 @@ from corpusloom.operators import content as C
 from corpusloom.operators import filters as R
 from corpusloom.operators.dedup import choose, similar_pairs
 from corpusloom.operators.normalizers import apply_normalizers
+from corpusloom.operators.scoring import bigram_scores
 from corpusloom.session import cut
 
-#: Steps in order: ("filter", names), ("normalize", names), ("exact",), ("fuse",), ("near",).
+#: Steps in order: ("filter", names), ("normalize", names), ("exact",), ("fuse",), ("near", keep).
 PIPELINES: dict[str, list[tuple]] = {
     "ocr": [
         ("filter", ("num_tokens", "tv_tables", "language")),
         ("normalize", ("unicode", "anonymize", "common_errors", "strip_string")),
         ("exact",),
-        ("near",),
+        ("near", "score"),
     ],
     "plain": [
         ("filter", ("num_tokens", "language")),
         ("normalize", ("unicode", "moses", "anonymize")),
         ("filter", ("num_tokens", "unicode", "language")),
         ("exact",),
-        ("near",),
+        ("near", "first"),
     ],
-    "fuse": [("filter", ("language",)), ("normalize", ("unicode", "anonymize")), ("filter", ("language",)), ("exact",), ("fuse",), ("near",)],
-    "split": [("filter", ("language",)), ("normalize", ("unicode", "anonymize")), ("exact",), ("fuse",), ("filter_no_breaks", ("num_tokens",)), ("near",)],
+    "fuse": [("filter", ("language",)), ("normalize", ("unicode", "anonymize")), ("filter", ("language",)), ("exact",), ("fuse",), ("near", "first")],
+    "split": [("filter", ("language",)), ("normalize", ("unicode", "anonymize")), ("exact",), ("fuse",), ("filter_no_breaks", ("num_tokens",)), ("near", "first")],
     "audit": [("filter", ("language",)), ("normalize", ("unicode", "moses", "anonymize")), ("filter", ("language",)), ("exact",)],
 }
 
@@ -40,7 +41,8 @@ def run_pipeline(
     """Packages after the steps of a pipeline; ``key`` must be unique.
 
     Filters run in their fixed order and leave breaks; near duplicates are
-    resolved over the texts that are left, and packages that keep nothing have
+    resolved over the texts that are left, by the lowest perplexity under their
+    own bigram model where a step says ``score``, and packages that keep nothing have
     an empty content.
     """
     specs = {"num_tokens": R.num_tokens(least_tokens), "unicode": R.readable(), "tv_tables": R.tv_tables(), "language": R.language(provider, target)}
@@ -63,6 +65,11 @@ def run_pipeline(
         else:
             packages = cut(packages)
             docs = cut(C.explode_content(packages, key).where("text IS NOT NULL").withColumn("doc", C.document_key(F.col(key), F.col("pos"))))
-            kept = docs.join(choose(docs, similar_pairs(docs, "doc"), "doc"), "doc", "left_semi")
+            edges, keep, score = cut(similar_pairs(docs, "doc")), rest[0], None
+            rated = docs
+            if keep == "score":
+                score = "perplexity"
+                rated = cut(docs.join(bigram_scores(docs, "doc").select("doc", score), "doc", "left"))
+            kept = docs.join(choose(rated, edges, "doc", keep=keep, score=score), "doc", "left_semi")
             packages = C.regroup(packages, kept, key)
     return packages

@@ -342,6 +342,19 @@ def test_pipelines(spark):
         assert got.get(2) in ([], None) and not [t for t in got.get(3) or [] if t]
 
 
+def test_ocr_pipeline_keeps_the_copy_of_lowest_perplexity(spark):
+    text = "Det var en gång en lång text som handlade om flera saker i byn och om folk som bodde där i många år innan de for till staden. "
+    worse = text.replace("flera saker", "fl3ra s4ker").replace("många år", "mångn ör")
+    rows = [(1, "sv", [worse + "Slut."]), (2, "sv", [text + "Slut."])]
+    rows += [(3, "sv", ["Andra talade också om flera saker i byn, men det gick där i många år innan någon kom ihåg vad som egentligen hade hänt med kvarnen."])]
+    packs = spark.createDataFrame(rows, "k int, lang string, content array<string>")
+    kept = {}
+    for name in ("ocr", "fuse"):
+        got = {r["k"]: r["content"] for r in run_pipeline(packs, name, "k", R.label_provider(F.col("lang")), least_tokens=15).collect()}
+        kept[name] = sorted(k for k, c in got.items() if any(c))
+    assert kept == {"ocr": [2, 3], "fuse": [1, 3]}
+
+
 def test_streaming(spark, tmp_path):
     from corpusloom.streaming.first_seen import first_seen, windowed_counts
 
