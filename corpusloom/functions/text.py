@@ -118,9 +118,25 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
 
 
+#: What NFKD leaves beyond ASCII.
+_ASCII = str.maketrans(
+    {
+        **dict.fromkeys("‐‑‒–—―−⁃﹘﹣－", "-"), **dict.fromkeys("‘’‚‛′´ʹʻʼʽˈ‹›", "'"), **dict.fromkeys("“”„‟″«»〝〞", '"'),
+        **dict.fromkeys("•·‣∙●▪■◦", "*"), "…": "...", "。": ".", "、": ",", "⁄": "/", "∕": "/", "×": "x", "÷": "/", "¦": "|", "¡": "!", "¿": "?", "§": "SS", "¶": "P",
+        "†": "+", "‡": "++", "‰": "0/00", "°": "deg", "©": "(c)", "®": "(r)", "€": "EUR", "£": "GBP", "¥": "JPY", "¢": "c", "¤": "$", "₤": "GBP",
+        "←": "<-", "→": "->", "≤": "<=", "≥": ">=", "≠": "!=", "≈": "~", "±": "+-", "¬": "-",
+        "ß": "ss", "ẞ": "SS", "ð": "d", "Ð": "D", "đ": "d", "Đ": "D", "þ": "th", "Þ": "Th", "ł": "l", "Ł": "L", "œ": "oe", "Œ": "OE", "ı": "i",
+        "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ŋ": "ng", "Ŋ": "NG", "ĸ": "k", "ƒ": "f", "ə": "e",
+    }
+)
+
+
 @pandas_udf(StringType())
 def ascii_fold(text: pd.Series) -> pd.Series:
-    """Letters without marks and punctuation in ASCII, but the letters of Nordic languages as they are."""
+    """Latin letters without marks and punctuation in ASCII, but the letters of Nordic languages as they are.
+
+    Letters of other scripts only lose their marks; characters without width go.
+    """
     spare = frozenset("åäöÅÄÖæøÆØ")
 
     def fold(s):
@@ -131,7 +147,8 @@ def ascii_fold(text: pd.Series) -> pd.Series:
             if c in spare or c.isascii():
                 out.append(c)
             else:
-                out += (x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x) and (x.isascii() or x.isalnum()))
+                parts = unicodedata.normalize("NFKD", c.translate(_ASCII)).translate(_ASCII)
+                out += (x for x in parts if not unicodedata.combining(x) and (x.isascii() or x.isalnum()))
         return "".join(out)
 
     return text.map(fold)

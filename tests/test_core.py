@@ -97,6 +97,12 @@ def test_python_normalizers(spark):
     assert folded[1].startswith("åäö E") and folded[2:] == ["plain", "", None]
 
 
+def test_ascii_fold_of_whole_strings(spark):
+    values = ["åäö É ß “x” – ø", "1914–1918, kl. 9–18", "‘a’ «b» 5 € … § 4", "þorn Łódź ðæ", "a\u200bb\xadc", "e\u0301 ½"]
+    want = ["åäö E ss \"x\" - ø", "1914-1918, kl. 9-18", "'a' \"b\" 5 EUR ... SS 4", "thorn Lodz dæ", "abc", "e 1/2"]
+    assert column(spark, values, T.ascii_fold) == want
+
+
 def test_sentences(spark):
     values = ['Ett. Två! "Tre?" 4 st. slut', "utan slut", ""]
     parts = column(spark, values, T.sentences)
