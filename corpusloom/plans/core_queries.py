@@ -172,6 +172,12 @@ def filter_lines(spark, d):
     return lines.where(R.readable().keep(F.col("line")))
 
 
+@query("filter_lines_swedish")
+def filter_lines_swedish(spark, d):
+    """Readable lines in Swedish, ahead of any other language by 0.95."""
+    return filter_lines(spark, d).where(R.language(R.word_provider(common(spark, d)), margin=0.95).keep(F.col("line")))
+
+
 @query("filter_tv_tables", f"SELECT box_id FROM boxes WHERE {TIMES(LINE)} <= 3")
 def filter_tv_tables(spark, d):
     return boxes(spark, d).where(R.first_failing(F.col("content"), [R.tv_tables()]).isNull() & F.col("content").isNotNull()).select("box_id")

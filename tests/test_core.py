@@ -177,6 +177,16 @@ def test_language_filter(spark):
     assert column(spark, ["och att x", "och and", "x", "and to", ""], lambda t: spec.keep(t)) == [True, False, False, False, False]
 
 
+def test_filter_lines_swedish(spark, tmp_path):
+    from corpusloom.plans.core_queries import filter_lines_swedish
+
+    lines = ["det är och att", "det är and to", "and to", "det är och att漢", "xyz", ""]
+    spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "crawl_id long, content string").write.parquet(str(tmp_path / "crawl.parquet"))
+    words = [(k, i, w) for k, ws in (("sv", "det är och att"), ("en", "and to")) for i, w in enumerate(ws.split())]
+    spark.createDataFrame(words, "lang string, word_rank int, word string").write.parquet(str(tmp_path / "common_words.parquet"))
+    assert [tuple(r) for r in filter_lines_swedish(spark, str(tmp_path)).collect()] == [(1, "det är och att")]
+
+
 def test_normalizer_driver(spark):
     packs = spark.createDataFrame([(1, ["ﬁ x@y.se", None, "Två. "]), (2, [])], "i int, content array<string>")
     got = {r["i"]: r["content"] for r in N.apply_normalizers(packs, ["anonymize", "unicode"], "i").collect()}
