@@ -17,6 +17,8 @@ from corpusloom.session import table
 
 #: Common words are a short fixed list; a longer table is an error, not a broadcast.
 MAX_COMMON_WORDS = 20_000
+#: Words among which repetition is measured; a text of under one and a half windows is one.
+WINDOW = 100
 
 _CELLS = r"\S(?:\t| {2,}| ?\| ?)[^ \t|].*?(?:\t| {2,}|\|) ?[^ \t|]"
 _FIGURES = r"^\s*-?\d[\d.,:]*(?:\s+-?\d[\d.,:]*){2,}\s*$"
@@ -38,6 +40,16 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
+def _distinct(tokens: Column) -> Column:
+    """Distinct words of each window of about ``WINDOW`` words, added up: natural prose repeats itself as it grows."""
+    n = F.size(tokens)
+    windows = F.floor(n / F.lit(WINDOW) + F.lit(0.5))
+    begin = lambda i: F.floor(i * n / windows).cast("int")
+    window = lambda i: F.size(F.array_distinct(F.slice(tokens, begin(i) + 1, begin(i + 1) - begin(i))))
+    several = F.aggregate(F.sequence(F.lit(0).cast("bigint"), windows - 1), F.lit(0), lambda s, i: s + window(i))
+    return F.when(windows > 1, several).otherwise(F.size(F.array_distinct(tokens)))
+
+
 def statistics(df: DataFrame, common: list[str], key: str = "box_id", content: str = "content") -> DataFrame:
     """Counts and shares of every text, one row per input row, as built-in columns.
 
@@ -74,7 +86,7 @@ def statistics(df: DataFrame, common: list[str], key: str = "box_id", content: s
         _share(signs - letters - digits, signs).alias("symbol_share"),
         _share(vowels, letters).alias("vowel_share"),
         _share(F.size(F.filter("_tokens", lambda w: w.isin(common))) if common else F.lit(0), tokens).alias("common_share"),
-        _share(F.size(F.array_distinct("_tokens")), tokens).alias("distinct_share"),
+        _share(_distinct(F.col("_tokens")), tokens).alias("distinct_share"),
         F.when(digits > 0, _share(F.regexp_count(text, F.lit(r"\p{L}[0-9]|[0-9]\p{L}")), tokens)).otherwise(0.0).alias("mixed_token_share"),
         F.coalesce(F.array_max(F.transform("_tokens", lambda w: F.length(w))), F.lit(0)).alias("longest_token"),
         _share(F.regexp_count(text, F.lit(_SENTENCE_END)), F.col("n_words")).alias("sentence_end_share"),

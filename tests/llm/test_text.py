@@ -94,6 +94,18 @@ def test_kinds_on_held_out_documents(spark):
     assert (got == y).mean() > 0.97
 
 
+def test_repetition_does_not_depend_on_length(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiouåäö") for _ in range(rng.randint(1, 4))) for _ in range(700)]
+    prose = lambda n: " ".join(" ".join(rng.choices(words, [1 / (k + 3) for k in range(700)], k=12)).capitalize() + "." for _ in range(n))
+    rows = [(0, prose(9)), (1, prose(400)), (2, "köp nu här " * 1000), (3, "a b a"), (4, "")]
+    df = spark.createDataFrame(rows, "box_id long, content string")
+    share = {r["box_id"]: r["distinct_share"] for r in quality.statistics(df, ["och"]).collect()}
+    assert abs(share[0] - share[1]) < 0.15 and share[1] > 0.5 and share[2] < 0.05 and share[3] == pytest.approx(2 / 3) and share[4] == 0
+    kind = {r["box_id"]: r["kind"] for r in quality.kinds(df, ["och"]).collect()}
+    assert kind[1] == kind[0] == "prose" and kind[2] == "junk"
+
+
 def test_quality_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "Det var en gång en båt som gick på havet."), (4, "Det var en gång en båt som gick på havet."), (5, "x" * 100_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "box_id long, content string, n_words int")
