@@ -56,3 +56,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def meet(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join that broadcasts neither side.
+
+    The planner takes a checkpointed or Arrow-made frame for as large as what it
+    was made from, so that one which grows with the data may pass for small.
+    Merging sorted partitions spills, and adaptive execution splits a hot key.
+    """
+    return left.hint("merge").join(right.hint("merge"), on, how)
