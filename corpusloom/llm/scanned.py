@@ -13,16 +13,17 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from difflib import SequenceMatcher
-from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.registry import query
 from corpusloom.llm.survivor import package_key
-from corpusloom.session import cut, ship, table
+from corpusloom.session import cut, meet, ship, table
 
 HYPHENS = "-‐‑¬=\xad"
 #: Words after a hyphen that belongs to the word, as in "in- och utförsel".
@@ -41,67 +42,88 @@ MAX_REPLACEMENTS = 100_000
 
 _DATE = re.compile(r"(?:(?<!\S)(?!d[ec](?:n|ri)\s)(\S+)\s+)?(?<!\S)(?:d[ec](?:n|ri)\s+)?\d{1,2}[:.]?[ea]?\s+(?!d[ec](?:n|ri)\s)([^\W\d_]+\w*)(?:\s+\d{4})?", re.I)
 _PAGE = re.compile(r"\W*(?:sid(?:an|a)?\.?|s\.)?\s*\W*(\d{1,5})\W*\Z", re.I)
+_DIGIT = re.compile(r"\d")
 _EDGE = ".,;:!?\"”“'’()[]…–—»*"
-_FOLDS = (
-    (r"\/", "v"), ("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("lc", "k"), ("li", "h"), ("l)", "b"), ("ü", "ti"), ("•", ""),
-    ("1", "i"), ("l", "i"), ("|", "i"), ("0", "o"), ("6", "o"), ("ö", "o"), ("5", "s"), ("9", "g"), ("«", "a"), ("&", "a"), ("å", "a"), ("ä", "a"),
-    ("c", "e"), ("f", "t"),
-)
+_DAYS = "måndag tisdag onsdag torsdag fredag lördag söndag".split()
+_MONTHS = "januari februari mars april maj juni juli augusti september oktober november december".split()
 
 
-def folded(text: str) -> str:
-    """A line's letters with confusable characters made one."""
-    low = text.lower()
-    for a, b in _FOLDS:
-        low = low.replace(a, b)
-    return re.sub(r"[\W\d_]+", "", low)
-
-
-#: Names of days and months, as they are and as they are misread.
-_DAYS = frozenset(folded(d + end) for d in "måndag tisdag onsdag torsdag fredag lördag söndag".split() for end in ("", "en"))
-_MONTHS = frozenset(map(folded, "januari februari mars april maj juni juli augusti september oktober november december".split()))
-
-
-def _undated(m: re.Match) -> str:
-    """A date as a space, with its weekday; what is none as it is."""
-    if folded(m[2]) not in _MONTHS:
-        return m[0]
-    return " " if m[1] is None or folded(m[1]) in _DAYS else f"{m[1]} "
+class Folding:
+    """Confusable characters made one, by the learned confusions.
 
+    Single characters that are taken for each other form classes; longer signs
+    are then replaced by what they mean, and letters are all that is left.
+    """
 
-def header_form(line: str, page_no: int | None) -> str | None:
+    def __init__(self, rules: list[tuple[str, str, float]]):
+        parent: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while parent.setdefault(c, c) != c:
+                c = parent[c]
+            return c
+
+        for seen, meant, _ in rules:
+            if len(seen) == len(meant) == 1:
+                a, b = sorted((root(seen), root(meant)), key=lambda c: (not c.isalpha(), c))
+                parent[b] = a
+        self.one = {ord(c): root(c) for c in parent}
+        self.one |= {ord(seen): "" for seen, meant, _ in rules if len(seen) == 1 and not meant}
+        weight = {(seen, meant): p for seen, meant, p in rules}
+        longer = {}
+        for seen, meant, p in rules:
+            if (len(seen) > 1 or len(meant) > 1) and p > weight.get((meant, seen), 0):
+                a, b = seen.translate(self.one), meant.translate(self.one)
+                if a and a != b and p > longer.get(a, ("", 0))[1]:
+                    longer[a] = (b, p)
+        self.longer = [(a, longer[a][0]) for a in sorted(longer, key=lambda a: (-len(a), a)) if a not in longer[a][0]]
+        self.days = frozenset(self(d + end) for d in _DAYS for end in ("", "en"))
+        self.months = frozenset(map(self, _MONTHS))
+
+    def __call__(self, text: str) -> str:
+        low = re.sub(r"\s+", "", text.lower()).translate(self.one)
+        for a, b in self.longer:
+            low = low.replace(a, b)
+        return re.sub(r"[\W\d_]+", "", low)
+
+    def undated(self, m: re.Match) -> str:
+        """A date as a space, with its weekday; what is none as it is."""
+        if self(m[2]) not in self.months:
+            return m[0]
+        return " " if m[1] is None or self(m[1]) in self.days else f"{m[1]} "
+
+
+def header_form(line: str, page_no: int | None, fold: Folding) -> str | None:
     """The folded text of a line that has the form of a running header, else null: with its page's number or a date, or in capitals."""
     text = line.strip()
-    rest = _DATE.sub(_undated, text)
+    capitals = text == text.upper()
+    if not capitals and not _DIGIT.search(text):
+        return None
+    rest = _DATE.sub(fold.undated, text)
     dated = rest != text
     if page_no is not None:
         numbered = re.sub(rf"^{page_no}(?!\d)|(?<!\d){page_no}$", " ", rest.strip())
     else:
         numbered = rest
-    if not dated and numbered == rest.strip() and text != text.upper():
+    if not dated and numbered == rest.strip() and not capitals:
         return None
     if sum(c.isalpha() for c in numbered) < 4:
         return None
-    return folded(numbered)[:80] or None
+    return fold(numbered) or None
 
 
 def is_page_number(line: str, page_no: int | None) -> bool:
     """Whether a line holds only its page's number and decoration; digits may stand apart."""
+    if page_no is None or not _DIGIT.search(line):
+        return False
     m = _PAGE.match(re.sub(r"(?<=\d)\s(?=\d)", "", line.strip()))
-    return bool(m) and page_no is not None and int(m[1]) == page_no
-
-
-def _words_of(line: str):
-    for raw in line.split():
-        w = raw.strip(_EDGE).lower()
-        if w:
-            yield w
+    return bool(m) and int(m[1]) == page_no
 
 
 class Page:
     """Roles of the lines of a page, and the words of its running text."""
 
-    def __init__(self, content: str, page_no: int | None, headers: frozenset[str]):
+    def __init__(self, content: str, page_no: int | None, headers: frozenset[str], fold: Folding):
         self.lines = content.split("\n")
         self.roles = []
         for line in self.lines:
@@ -109,7 +131,7 @@ class Page:
                 self.roles.append("blank")
             elif is_page_number(line, page_no):
                 self.roles.append("page_number")
-            elif (form := header_form(line, page_no)) and form in headers:
+            elif headers and (form := header_form(line, page_no, fold)) and form in headers:
                 self.roles.append("header")
             else:
                 self.roles.append("text")
@@ -151,7 +173,7 @@ def goes_on(after: str) -> bool:
     return bool(first) and not first[0].isupper() and not first.isdigit() and first.lower() not in SUSPENDING
 
 
-def header_lines(scans: DataFrame) -> DataFrame:
+def header_lines(scans: DataFrame, fold: Folding) -> DataFrame:
     """``(scan_id, pkey, page_no, form, edge, capitals)`` of the lines that have the form of a header; the first and last lines besides page numbers are a page's edge."""
 
     def run(batches):
@@ -160,7 +182,7 @@ def header_lines(scans: DataFrame) -> DataFrame:
             for r in batch.to_pylist():
                 lines = [x for x in (r["content"] or "").split("\n") if x.strip() and not is_page_number(x, r["page_no"])]
                 for k, line in enumerate(lines):
-                    if form := header_form(line, r["page_no"]):
+                    if form := header_form(line, r["page_no"], fold):
                         text = line.strip()
                         out.append((r["scan_id"], r["pkey"], r["page_no"], form, int(k in (0, len(lines) - 1)), int(text == text.upper())))
             types = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32())
@@ -171,13 +193,13 @@ def header_lines(scans: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "scan_id bigint, pkey string, page_no int, form string, edge int, capitals int")
 
 
-def recurring_headers(scans: DataFrame) -> DataFrame:
+def recurring_headers(scans: DataFrame, fold: Folding) -> DataFrame:
     """``(scan_id, headers)``: the folded texts of the running headers of every scan that has any.
 
     A header recurs at the edge of pages, of one package or over the corpus;
     headlines that recur in a large corpus stand anywhere.
     """
-    lines = cut(header_lines(scans))
+    lines = cut(header_lines(scans, fold))
     n = F.count("*")
     known = lines.groupBy("form").agg(n.alias("n"), F.sum("edge").alias("edge"), F.sum("capitals").alias("capitals"))
     often = (F.col("n") >= IN_CAPITALS) | ((F.col("n") >= NUMBERED) & (F.col("capitals") < F.col("n")))
@@ -185,55 +207,34 @@ def recurring_headers(scans: DataFrame) -> DataFrame:
     placed = lines.where("edge = 1 AND pkey IS NOT NULL AND page_no IS NOT NULL").select("pkey", "form", "page_no").distinct()
     within = placed.groupBy("pkey", "form").agg(n.alias("n")).where(F.col("n") >= IN_PACKAGE).select("form")
     headers = over_all.unionByName(within).distinct()
-    return lines.join(headers, "form").groupBy("scan_id").agg(F.collect_set("form").alias("headers"))
+    return meet(lines, headers, "form").groupBy("scan_id").agg(F.collect_set("form").alias("headers"))
 
 
-_WORD = "array<struct<w: string, line: int, line2: int, cut: int>>"
+def parsed(scans: DataFrame, headers: DataFrame, fold: Folding) -> DataFrame:
+    """Pages with the roles of their lines and the words of their running text.
 
-
-def parsed(scans: DataFrame, headers: DataFrame) -> DataFrame:
-    """Pages with the roles of their lines and the words of their running text."""
+    ``words``, with each word's line, the line it ends in and its length in the
+    first, are arrays side by side.
+    """
+    fields = ("scan_id", "pkey", "page_no", "scanned_at", "roles", "hyphens", "open", "start", "words", "lines", "lines2", "cuts")
+    numbers = pa.list_(pa.int32())
+    types = (pa.int64(), pa.string(), pa.int32(), pa.timestamp("us"), pa.list_(pa.string()), numbers, pa.int32(), pa.string(), pa.list_(pa.string()), *[numbers] * 3)
 
     def run(batches):
         for batch in batches:
-            out: list[dict] = []
+            out: list[tuple] = []
             for r in batch.to_pylist():
-                p = Page(r["content"] or "", r["page_no"], frozenset(r["headers"] or ()))
-                out.append(
-                    {
-                        "scan_id": r["scan_id"],
-                        "pkey": r["pkey"],
-                        "page_no": r["page_no"],
-                        "scanned_at": r["scanned_at"],
-                        "roles": p.roles,
-                        "hyphens": p.hyphens,
-                        "open": p.open,
-                        "start": p.start,
-                        "words": [{"w": w, "line": a, "line2": b, "cut": c} for w, a, b, c in p.words],
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
-
-    word = pa.struct([("w", pa.string()), ("line", pa.int32()), ("line2", pa.int32()), ("cut", pa.int32())])
-    arrow = pa.schema(
-        [
-            ("scan_id", pa.int64()),
-            ("pkey", pa.string()),
-            ("page_no", pa.int32()),
-            ("scanned_at", pa.timestamp("us")),
-            ("roles", pa.list_(pa.string())),
-            ("hyphens", pa.list_(pa.int32())),
-            ("open", pa.int32()),
-            ("start", pa.string()),
-            ("words", pa.list_(word)),
-        ]
-    )
-    rows = scans.join(headers, "scan_id", "left").select(
+                p = Page(r["content"] or "", r["page_no"], frozenset(r["headers"] or ()), fold)
+                words = list(zip(*p.words)) or [()] * 4
+                out.append((r["scan_id"], r["pkey"], r["page_no"], r["scanned_at"], p.roles, p.hyphens, p.open, p.start, *words))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=list(fields))
+
+    rows = meet(scans, headers, "scan_id", "left").select(
         "scan_id", package_key(F.col("package_id")).alias("pkey"), "page_no", F.col("scanned_at").cast("timestamp_ntz"), "content", "headers"
     )
     schema = (
         "scan_id bigint, pkey string, page_no int, scanned_at timestamp_ntz, roles array<string>, hyphens array<int>, "
-        f"open int, start string, words {_WORD}"
+        "open int, start string, words array<string>, lines array<int>, lines2 array<int>, cuts array<int>"
     )
     return rows.mapInArrow(run, schema)
 
@@ -248,7 +249,7 @@ def confusions(replacements: DataFrame) -> list[tuple[str, str, float]]:
         if not bad or not good:
             continue
         for op, a, b, c, d in SequenceMatcher(None, bad.lower(), good.lower(), False).get_opcodes():
-            if op != "equal" and b - a <= 3 and d - c <= 3 and b > a:
+            if op != "equal" and b > a:
                 pair = (bad.lower()[a:b], good.lower()[c:d])
                 counts[pair] = counts.get(pair, 0) + 1
     total = sum(counts.values())
@@ -261,63 +262,114 @@ def confusions(replacements: DataFrame) -> list[tuple[str, str, float]]:
     return sorted((s, m, p) for (s, m), p in rules.items())
 
 
-def readings(word: str, rules: list[tuple[str, str, float]], most: int = 2) -> dict[str, float]:
-    """Words that a word may be a misreading of, with the logarithm of the channel's probability; up to two errors."""
-    places = []
+class Grams:
+    """Which runs of four characters words of the corpus have: a set of bits of fixed size, so it may err by one too many."""
+
+    BITS = 1 << 22
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.known = bits, {}
+
+    @classmethod
+    def place(cls, gram: str) -> int:
+        return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % cls.BITS
+
+    @classmethod
+    def of(cls, words: DataFrame) -> Grams:
+        """Of all words in a column ``meant``; every task sends the places of its own, each once."""
+
+        def run(batches):
+            found: set[int] = set()
+            for batch in batches:
+                for w in batch.column(0).to_pylist():
+                    w = f"^{w}$"
+                    found.update(cls.place(w[i : i + 4]) for i in range(max(1, len(w) - 3)))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], names=["place"])
+
+        bits = np.zeros(cls.BITS // 8, np.uint8)
+        places = words.select("meant").mapInArrow(run, "place int").distinct().toArrow().column(0).to_numpy()
+        np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        return cls(bits)
+
+    def __contains__(self, gram: str) -> bool:
+        found = self.known.get(gram)
+        if found is None:
+            at = self.place(gram)
+            found = self.known[gram] = bool(self.bits[at >> 3] >> (at & 7) & 1)
+            if len(self.known) > 1_000_000:
+                self.known.clear()
+        return found
+
+
+def readings(word: str, rules: list[tuple[str, str, float]], least: float, grams=None) -> dict[str, float]:
+    """Words that a word may be a misreading of, with the logarithm of the channel's probability, down to ``least``.
+
+    With ``grams`` only those whose runs of four characters all occur in it.
+    """
+    begin: dict[str, list] = {}
     for seen, meant, p in rules:
-        at = word.find(seen)
-        while at >= 0:
-            places.append((at, seen, meant, math.log(p)))
-            at = word.find(seen, at + 1)
+        begin.setdefault(seen[0], []).append((seen, meant, math.log(ERROR) + math.log(p)))
     found: dict[str, float] = {}
-    for k in range(1, most + 1):
-        for chosen in combinations(sorted(places), k):
-            if any(a[0] + len(a[1]) > b[0] for a, b in zip(chosen, chosen[1:])):
-                continue
-            out, at = [], 0
-            for start, seen, meant, _ in chosen:
-                out += (word[at:start], meant)
-                at = start + len(seen)
-            meant_word = "".join(out) + word[at:]
-            score = k * math.log(ERROR) + sum(c[3] for c in chosen)
-            if meant_word != word and score > found.get(meant_word, -math.inf):
-                found[meant_word] = score
+    open_ = [(0, "^", 0.0)]
+    while open_:
+        at, out, score = open_.pop()
+        if at == len(word):
+            if score < 0 and (meant := out[1:]) != word and score > found.get(meant, -math.inf):
+                if grams is None or (out + "$")[-4:] in grams:
+                    found[meant] = score
+            continue
+        steps = [(1, word[at], 0.0)]
+        steps += [(len(seen), meant, p) for seen, meant, p in begin.get(word[at], ()) if score + p >= least and word.startswith(seen, at)]
+        for size, meant, p in steps:
+            longer = out + meant
+            if grams is None or all(longer[i - 3 : i + 1] in grams for i in range(max(3, len(out)), len(longer))):
+                open_.append((at + size, longer, score + p))
     return found
 
 
+#: Words of letters and hyphens only, the rest is odd.
+_SOUND = r"^[\p{L}-]+$"
+
+
 def candidate_table(counts: DataFrame, rules: list[tuple[str, str, float]]) -> DataFrame:
     """``(w, own, readings)``: words that may be misread, what they count for themselves, and what they may mean.
 
-    A reading must be a word of the corpus.  A word keeps of its own count what
-    exceeds the expected number of misreadings.
+    A reading must be a word of the corpus, of letters and hyphens.  Words of
+    any length and any number of errors count; a reading so improbable that not
+    the most frequent word with its most frequent neighbours could win isn't
+    listed.  A word keeps of its own count what exceeds the expected number of
+    misreadings.
     """
-    shared = counts.sparkSession.sparkContext.broadcast(rules)
+    spark = counts.sparkSession
+    known = counts.where(F.col("w").rlike(_SOUND)).select(F.col("w").alias("meant"), F.col("n").alias("times"))
+    most = known.agg(F.max("times")).first()[0] or 1
+    shared = spark.sparkContext.broadcast((rules, Grams.of(known)))
+    best = math.log(most) + 2 * math.log1p(BIGRAM)
 
     def run(batches):
+        known_rules, grams = shared.value
         for batch in batches:
             words, counts_, meant, scores = [], [], [], []
             for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if 2 < len(w) <= 60:
-                    for m, s in readings(w, shared.value).items():
-                        if len(m) > 1:
-                            words.append(w)
-                            counts_.append(n)
-                            meant.append(m)
-                            scores.append(s)
+                sound = all(c.isalpha() or c == "-" for c in w)
+                for m, s in readings(w, known_rules, math.log(RESIDUE if sound else ODD) - best, grams).items():
+                    words.append(w)
+                    counts_.append(n)
+                    meant.append(m)
+                    scores.append(s)
             columns = [pa.array(words, pa.string()), pa.array(counts_, pa.int64()), pa.array(meant, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["w", "n", "meant", "channel"])
 
     possible = counts.mapInArrow(run, "w string, n bigint, meant string, channel double")
-    known = counts.where(~F.col("w").rlike(r"[^\p{L}-]")).select(F.col("w").alias("meant"), F.col("n").alias("times"))
     expected = F.col("times") * F.exp("channel")
-    odd = F.col("w").rlike(r"[^\p{L}-]")
+    odd = ~F.col("w").rlike(_SOUND)
     worth = (SLACK * expected * 5 >= F.col("n")) | (odd & (F.col("times") > F.col("n"))) | (F.col("times") >= 20 * F.col("n"))
-    pairs = possible.join(known, "meant").withColumn("expected", expected).where(worth)
+    pairs = meet(possible, known, "meant").withColumn("expected", expected).where(worth)
     grouped = pairs.groupBy("w").agg(
         F.max("n").alias("n"), F.sum("expected").alias("expected"), F.collect_list(F.struct("meant", "channel", "times")).alias("readings")
     )
     own = F.greatest(F.lit(RESIDUE), F.col("n") - SLACK * F.col("expected"))
-    return grouped.select("w", F.when(F.col("w").rlike(r"[^\p{L}-]"), ODD).otherwise(own).alias("own"), "readings")
+    return grouped.select("w", F.when(odd, ODD).otherwise(own).alias("own"), "readings")
 
 
 def viterbi(options: list[list[tuple[str, float, float]]], pairs: dict[tuple[str, str], int]) -> list[str]:
@@ -343,27 +395,27 @@ def viterbi(options: list[list[tuple[str, float, float]]], pairs: dict[tuple[str
 
 
 def corrections(pages: DataFrame, rules: list[tuple[str, str, float]]) -> DataFrame:
-    """``(scan_id, i, w, meant)``: words of running text that are misread, by place on the page, and what they mean."""
-    tokens = pages.select("scan_id", F.posexplode("words").alias("i", "word")).select("scan_id", "i", "word.w", "word.line")
+    """``(scan_id, line, w, meant, wrong)``: words of running text that are misread, their lines, what they mean, and the lines with the wrong characters."""
+    tokens = pages.select("scan_id", F.explode("words").alias("w"))
     counts = cut(tokens.groupBy("w").agg(F.count("*").alias("n")))
     candidates = cut(candidate_table(counts, rules))
-    hits = cut(tokens.join(candidates, "w"))
-    # neighbours of the hits on their lines, with their counts, and the bigrams that may matter
-    words = F.transform("words", lambda x: x["w"])
+    # a page asks once for each of its words, so a word of every line travels once a page
+    words = pages.select("scan_id", F.explode(F.array_distinct("words")).alias("w"))
+    hits = meet(words, candidates, "w").groupBy("scan_id").agg(F.collect_list(F.struct("w", "own", "readings")).alias("hits"))
     near = F.explode(
-        F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     )
     bigrams = pages.where("size(words) > 1").select(near.alias("x")).groupBy("x.a", "x.b").agg(F.count("*").alias("n"))
-    by_page = hits.groupBy("scan_id").agg(F.collect_list(F.struct("i", "own", "readings")).alias("hits"))
-    known = pages.select("scan_id", "words").join(by_page, "scan_id")
+    known = cut(meet(pages.select("scan_id", "words", "lines", "lines2", "cuts"), hits, "scan_id"))
 
     def options_of(row):
         """Per line with hits: places, and for each place its possible words."""
-        hit = {h["i"]: h for h in row["hits"]}
-        ws, lines = row["words"], {}
-        for i in sorted(hit):
-            lines.setdefault(ws[i]["line"], set()).update(k for k in (i - 1, i, i + 1) if 0 <= k < len(ws))
-        for line, places in lines.items():
+        hit = {h["w"]: h for h in row["hits"]}
+        ws, at, lines = row["words"], row["lines"], {}
+        for i, w in enumerate(ws):
+            if w in hit:
+                lines.setdefault(at[i], set()).update(k for k in (i - 1, i, i + 1) if 0 <= k < len(ws))
+        for places in lines.values():
             runs, run_ = [], []
             for i in sorted(places):
                 if run_ and i != run_[-1] + 1:
@@ -374,9 +426,10 @@ def corrections(pages: DataFrame, rules: list[tuple[str, str, float]]) -> DataFr
             for r in runs:
                 options = []
                 for i in r:
-                    here = [(ws[i]["w"], 0.0, hit[i]["own"] if i in hit else 1.0)]
-                    if i in hit:
-                        here += [(c["meant"], c["channel"], float(c["times"])) for c in hit[i]["readings"]]
+                    h = hit.get(ws[i])
+                    here = [(ws[i], 0.0, h["own"] if h else 1.0)]
+                    if h:
+                        here += [(c["meant"], c["channel"], float(c["times"])) for c in h["readings"]]
                     options.append(here)
                 yield r, options
 
@@ -391,24 +444,26 @@ def corrections(pages: DataFrame, rules: list[tuple[str, str, float]]) -> DataFr
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["scan_id", "a", "b"])
 
-    wanted = known.mapInArrow(ask, "scan_id bigint, a string, b string")
-    found = wanted.join(bigrams, ["a", "b"]).groupBy("scan_id").agg(F.collect_list(F.struct("a", "b", "n")).alias("pairs"))
+    wanted = known.select("scan_id", "words", "lines", "hits").mapInArrow(ask, "scan_id bigint, a string, b string")
+    found = meet(wanted, bigrams, ["a", "b"]).groupBy("scan_id").agg(F.collect_list(F.struct("a", "b", "n")).alias("pairs"))
 
     def decide(batches):
+        types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()))
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
+            out: list[tuple] = []
             for row in batch.to_pylist():
                 pairs = {(p["a"], p["b"]): p["n"] for p in row["pairs"] or ()}
+                fixed = set()
                 for places, options in options_of(row):
                     for i, o, w in zip(places, options, viterbi(options, pairs)):
-                        if w != o[0][0]:
-                            for column, x in zip(out, (row["scan_id"], i, o[0][0], w)):
-                                column.append(x)
-            types = (pa.int64(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=["scan_id", "i", "w", "meant"])
+                        if w != o[0][0] and (i, w) not in fixed:
+                            fixed.add((i, w))
+                            line, line2 = row["lines"][i], row["lines2"][i]
+                            out.append((row["scan_id"], line, o[0][0], w, _wrong_lines(o[0][0], w, row["cuts"][i], line, line2)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=["scan_id", "line", "w", "meant", "wrong"])
 
-    known = known.join(found, "scan_id", "left")
-    return known.mapInArrow(decide, "scan_id bigint, i int, w string, meant string").distinct()
+    known = meet(known, found, "scan_id", "left")
+    return known.mapInArrow(decide, "scan_id bigint, line int, w string, meant string, wrong array<int>")
 
 
 def open_hyphens(pages: DataFrame) -> DataFrame:
@@ -417,17 +472,19 @@ def open_hyphens(pages: DataFrame) -> DataFrame:
     first = F.regexp_extract(F.lower("start"), r"^[^\p{L}\p{N}]*(\S+)", 1)
     stops = F.col("start").rlike(r"^[^\p{L}\p{N}]*\p{Lu}") | first.rlike(r"^[0-9]+\W*$") | first.isin(*SUSPENDING)
     begins = pages.where("start IS NOT NULL").groupBy("pkey", "page_no").agg(F.min(stops.cast("int")).alias("stops"))
-    return ends.join(begins, ["pkey", "page_no"], "left").where("stops IS NULL OR stops = 0").select("scan_id", "line")
+    return meet(ends, begins, ["pkey", "page_no"], "left").where("stops IS NULL OR stops = 0").select("scan_id", "line")
 
 
 def read_pages(scans: DataFrame, replacements: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed pages and the corrections of their words."""
     ship(scans.sparkSession)
-    pages = cut(parsed(scans, recurring_headers(scans)))
-    return pages, corrections(pages, confusions(replacements))
+    rules = confusions(replacements)
+    fold = Folding(rules)
+    pages = cut(parsed(scans, recurring_headers(scans, fold), fold))
+    return pages, corrections(pages, rules)
 
 
-def _wrong_line(w: str, meant: str, cut_at: int, line: int, line2: int) -> list[int]:
+def _wrong_lines(w: str, meant: str, cut_at: int, line: int, line2: int) -> list[int]:
     """Lines of a word's halves in which its characters differ from what is meant."""
     if line == line2:
         return [line]
@@ -448,11 +505,7 @@ def noisy_lines(scans: DataFrame, replacements: DataFrame) -> DataFrame:
     pages, fixes = read_pages(scans, replacements)
     roles = pages.select("scan_id", F.posexplode("roles").alias("line", "kind")).where(F.col("kind").isin("header", "page_number"))
     hyphens = pages.select("scan_id", F.explode("hyphens").alias("line")).unionByName(open_hyphens(pages))
-    wrong = F.udf(_wrong_line, "array<int>", useArrow=True)
-    words = pages.select("scan_id", F.posexplode("words").alias("i", "word"))
-    misread = fixes.join(words, ["scan_id", "i"]).select(
-        "scan_id", F.explode(wrong("w", "meant", "word.cut", "word.line", "word.line2")).alias("line"), F.lit("misread").alias("kind")
-    )
+    misread = fixes.select("scan_id", F.explode("wrong").alias("line"), F.lit("misread").alias("kind"))
     found = roles.unionByName(hyphens.withColumn("kind", F.lit("hyphen"))).unionByName(misread)
     return found.select("scan_id", (F.col("line") + 1).cast("bigint").alias("line_no"), "kind").distinct()
 
@@ -512,8 +565,7 @@ def paragraphs(scans: DataFrame, replacements: DataFrame) -> DataFrame:
     gathered in one task.  Pages without package or number stand alone.
     """
     pages, fixes = read_pages(scans, replacements)
-    lines = pages.select("scan_id", F.posexplode("words").alias("i", "word")).select("scan_id", "i", "word.line")
-    by_page = fixes.join(lines, ["scan_id", "i"]).groupBy("scan_id").agg(F.collect_list(F.struct("line", "w", "meant")).alias("fixes"))
+    by_page = fixes.groupBy("scan_id").agg(F.collect_list(F.struct("line", "w", "meant")).alias("fixes"))
     alone = F.concat(F.lit("#"), F.col("scan_id").cast("string"))
     whole = pages.where(F.exists("roles", lambda r: r == "text")).select(
         "scan_id",
@@ -523,7 +575,8 @@ def paragraphs(scans: DataFrame, replacements: DataFrame) -> DataFrame:
         F.coalesce("page_no", F.lit(0)).alias("page_no"),
     )
     best = whole.groupBy("package", "page_no").agg(F.max(F.struct("scanned_at", "scan_id"))["scan_id"].alias("scan_id"))
-    rows = whole.join(best, ["package", "page_no", "scan_id"], "left_semi").join(scans.select("scan_id", "content"), "scan_id").join(by_page, "scan_id", "left")
+    rows = meet(whole, best, ["package", "page_no", "scan_id"], "left_semi")
+    rows = meet(meet(rows, scans.select("scan_id", "content"), "scan_id"), by_page, "scan_id", "left")
 
     def run(batches):
         for batch in batches:
@@ -542,11 +595,11 @@ def paragraphs(scans: DataFrame, replacements: DataFrame) -> DataFrame:
     last = found.where((F.col("paragraph_no") == F.col("of")) & ~ended)
     last = last.select("package", (F.col("page_no") + 1).alias("page_no"), F.col("page_no").alias("to_page"), F.col("paragraph_no").alias("to_no"))
     goes = F.col("text").rlike(r"^[^\p{L}\p{N}]*[\p{Ll}\p{N}]")
-    links = cut(found.where((F.col("paragraph_no") == 1) & goes).select("package", "page_no").join(last, ["package", "page_no"]))
+    links = cut(meet(found.where((F.col("paragraph_no") == 1) & goes).select("package", "page_no"), last, ["package", "page_no"]))
     while True:  # a page that is all one paragraph passes its link on; doubling ends after log2 of the longest chain
         onward = links.select("package", F.col("page_no").alias("to_page"), F.lit(1).alias("to_no"), F.col("to_page").alias("far_page"), F.col("to_no").alias("far_no"))
         after = cut(
-            links.join(onward, ["package", "to_page", "to_no"], "left").select(
+            meet(links, onward, ["package", "to_page", "to_no"], "left").select(
                 "package",
                 "page_no",
                 F.coalesce("far_page", "to_page").alias("to_page"),
@@ -558,7 +611,7 @@ def paragraphs(scans: DataFrame, replacements: DataFrame) -> DataFrame:
         if after.where("moved").isEmpty():
             break
     heads = links.select("package", "page_no", F.lit(1).alias("paragraph_no"), "to_page", "to_no")
-    placed = found.join(heads, ["package", "page_no", "paragraph_no"], "left")
+    placed = meet(found, heads, ["package", "page_no", "paragraph_no"], "left")
     parts = placed.groupBy("package", F.coalesce("to_page", "page_no").alias("page"), F.coalesce("to_no", "paragraph_no").alias("no")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]).alias("texts")
     )

@@ -100,8 +100,29 @@ def test_paragraphs(spark):
     assert ("bib:9", 3, 2, "Nytt stycke.") in got
 
 
+RULES = [("1", "i", 0.1), ("1", "l", 0.1), ("«", "ä", 0.5), ("0", "o", 0.1), ("rn", "m", 0.1), ("c", "e", 0.2)]
+
+
 def test_folding_and_forms():
-    assert scanned.folded("1GELV1KENS T1DN1NG") == scanned.folded("Igelvikens Tidning")
-    assert scanned.header_form("12 345", 3) is None and scanned.header_form("vanlig rad", 3) is None
+    fold = scanned.Folding(RULES)
+    assert fold("1GELV1KENS T1DN1NG") == fold("Igelvikens Tidning") and fold("harnnen") == fold("hamncn") != fold("hamnar")
+    assert scanned.header_form("12 345", 3, fold) is None and scanned.header_form("vanlig rad", 3, fold) is None
+    long = "EN MYCKET LÅNG RUBRIK " * 9
+    assert scanned.header_form(long + "OM HAMNEN", 3, fold) != scanned.header_form(long + "OM SKOGEN", 3, fold)
     assert scanned.is_page_number("– 5 –", 5) and scanned.is_page_number("1 2", 12) and not scanned.is_page_number("9.", None)
-    assert "kvällen" in scanned.readings("kv«llen", [("«", "ä", 0.5)])
+
+
+def test_readings(spark):
+    assert "kvällen" in scanned.readings("kv«llen", RULES, -30.0)
+    long = "kv«llens0rdstyrclscn" * 8
+    meant = long.replace("«", "ä").replace("0", "o").replace("c", "e")
+    grams = scanned.Grams.of(spark.createDataFrame([(meant,)], "meant string"))
+    assert list(scanned.readings(long, RULES, -1000.0, grams)) == [meant]
+    assert scanned.readings(long, RULES, -20.0, grams) == {}
+
+
+def test_no_join_broadcasts_pages(spark):
+    rows = [(i, f"bib{i}", 2, PAGE, at(1), "") for i in range(40)]
+    for found in (scanned.noisy_lines, scanned.paragraphs):
+        plan = found(scans(spark, rows), replacements(spark))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
