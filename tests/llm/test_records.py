@@ -1,4 +1,8 @@
 import datetime
+import random
+
+import numpy as np
+import pytest
 
 from corpusloom.llm import scanned, survivor
 
@@ -49,11 +53,47 @@ def test_a_hot_package(spark):
     assert {r["first_rec_id"] for r in got} == {0} and len(got) == 6
 
 
-def test_consensus():
-    assert survivor.closest_to_consensus(["a b c", "a x c", "a x c"]) == 0
-    columns = [[t] for t in "a b c d".split()]
-    joined = survivor.align(columns, "a c d e".split())
-    assert [[r for r in c] for c in joined] == [["a", "a"], ["b", None], ["c", "c"], ["d", "d"], [None, "e"]]
+def common(p, q):
+    best = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
+    for i, x in enumerate(p):
+        for j, y in enumerate(q):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+@pytest.mark.parametrize("cells", [1, 20, 4_000_000])
+def test_alignment_against_brute_force(monkeypatch, cells):
+    monkeypatch.setattr(survivor, "CELLS", cells)
+    rng = random.Random(cells)
+    for _ in range(200):
+        p, q = ([rng.randrange(4) for _ in range(rng.randrange(12))] for _ in range(2))
+        pairs = survivor.matches(np.array(p, int), np.array(q, int))
+        assert len(pairs) == common(p, q) and all(p[i] == q[j] for i, j in pairs)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
+    assert survivor.deviations("a b c d", "a c d e") == [(1, 0, None), (4, 1, "e")]
+    assert survivor.deviations("a b c", "a x y c") == [(1, 0, "x"), (2, 1, "y")] and survivor.deviations("a", "") == [(0, 0, None)]
+
+
+def test_votes_decide_what_the_order_leaves_open(spark):
+    def record(k, day, title):
+        return (k, ("bib7", title, None, None, None, None), [A, B], "low", at(day), "")
+
+    origins = spark.createDataFrame([("low", 1)], "origin string, trust int")
+
+    def survivor_of(*rows):
+        found = survivor.survivors(spark.createDataFrame([record(*r) for r in rows], SCHEMA), origins).collect()
+        return next(r["rec_id"] for r in found if r["field_name"] == "title")
+
+    # three of the same rank: two agree
+    assert survivor_of((1, 2, "a b c"), (2, 2, "a x c"), (3, 2, "a x c")) == 2
+    # two of the same rank: older ones decide, by the column in which they differ
+    assert survivor_of((1, 2, "a b c"), (2, 2, "a x c"), (3, 1, "a x d"), (4, 1, "q x")) == 2
+    assert survivor_of((1, 2, "a b c"), (2, 2, "a x c"), (3, 1, "a b d")) == 1
+    # inserted words are voted on too, and a tie stays with the smallest id
+    assert survivor_of((1, 2, "a c"), (2, 2, "a b c"), (3, 2, "z a b c")) == 2
+    assert survivor_of((1, 2, "a b"), (2, 2, "a c")) == 1
+    # older values never outvote a more recent one
+    assert survivor_of((1, 1, "a x c"), (2, 1, "a x c"), (3, 2, "a b c"), (4, 1, "a x c")) == 3
 
 
 PAGE = "Byns Tidning   2\n\nVi gick till mark-\nnaden i går, och till in-\noch utförseln vid hamnen.\nDet var kväl¬ \nlen efter.\n- 2 -"
