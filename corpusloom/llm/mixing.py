@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusloom.llm.bytebpe import DEFAULT_VOCABULARY
 from corpusloom.llm.encoding import count_tokens
@@ -72,7 +74,7 @@ def read_targets(targets: DataFrame) -> list[Target]:
 
 
 def mix(
-    docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 17, vocabulary: str = DEFAULT_VOCABULARY
+    docs: DataFrame, targets: DataFrame, total: float | Callable[[list[Target]], float] | None = None, seed: int = 17, vocabulary: str = DEFAULT_VOCABULARY
 ) -> tuple[DataFrame, DataFrame]:
     """Choose documents with repeats so that every source has its target share of all tokens.
 
@@ -84,10 +86,11 @@ def mix(
     that has no target, or without any token are never chosen.  Empty tables
     give no documents and shares of 0.
 
-    Tokens are counted once and kept in the shared folder.  What reaches the
-    driver is a sum per source and hash slot, at most ``sources x 4096`` numbers
-    whatever the corpus; the sums are combined before the shuffle, so that a
-    source may hold any part of the rows.
+    Tokens are counted once and kept in the shared folder.  The driver gets one
+    sum per source; where in its hash slots a source's last repetition ends is
+    found in the cluster, in a window over the sums of at most 4096 slots.  Sums
+    are combined before the shuffle, so that a source may hold any part of the
+    rows; what is joined to the documents has a row per source.
     """
     spark = docs.sparkSession
     plan = read_targets(targets)
@@ -95,32 +98,43 @@ def mix(
     sized = count_tokens(wanted, ["doc_id", "source"], vocabulary=vocabulary).where("n_tokens > 0")
     slot = F.shiftrightunsigned(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(seed)), 52).cast("int")
     sized = cut(sized.withColumn("slot", slot))
-    slots: dict[str, dict[int, int]] = {t.source: {} for t in plan}
-    for r in sized.groupBy("source", "slot").agg(F.sum("n_tokens").alias("n")).collect():
-        slots[r["source"]][r["slot"]] = r["n"]
+    slots = cut(sized.groupBy("source", "slot").agg(F.sum("n_tokens").alias("n")))
+    sizes = {r["source"]: r["n"] for r in slots.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     for t in plan:
-        t.size = sum(slots[t.source].values())
+        t.size = sizes.get(t.source, 0)
+    if callable(total):
+        total = total(plan)
     water_fill(plan, total)
     rows = []
     for t in plan:
         whole = min(t.cap, math.floor(t.epochs + 1e-9))
         part = max(0.0, t.epochs - whole) if whole < t.cap else 0.0
-        below, first_out = 0, 0
-        for k in sorted(slots[t.source]):
-            if abs(below + slots[t.source][k] - part * t.size) > abs(below - part * t.size):
-                break
-            below, first_out = below + slots[t.source][k], k + 1
-        rows.append((t.source, t.share, whole, first_out, t.size, whole * t.size + below, t.epochs))
-    used = sum(r[5] for r in rows) or 1
-    whole = F.create_map(*(F.lit(x) for r in rows for x in (r[0], r[2]))) if rows else None
-    extra = F.create_map(*(F.lit(x) for r in rows for x in (r[0], r[3]))) if rows else None
-    repeats = (whole[F.col("source")] + (F.col("slot") < extra[F.col("source")]).cast("int")) if rows else F.lit(0)
-    chosen = sized.withColumn("repeats", repeats).where("repeats > 0").drop("slot")
-    shares = spark.createDataFrame(
-        [(r[0], r[1], r[5] / used, r[4], r[5], r[5] / r[4] if r[4] else 0.0) for r in rows],
-        "source string, target_share double, actual_share double, available_tokens long, used_tokens long, epochs double",
+        rows.append((t.source, t.share, whole, part * t.size, t.size))
+    uses = spark.createDataFrame(rows, "source string, target_share double, whole int, part double, size long")
+    # slots in order are used while that brings the source nearer to its part
+    below = F.sum("n").over(Window.partitionBy("source").orderBy("slot"))
+    ends = slots.join(F.broadcast(uses), "source").withColumn("below", below)
+    ends = ends.where(F.abs(F.col("below") - F.col("part")) <= F.abs(F.col("below") - F.col("n") - F.col("part")))
+    ends = ends.groupBy("source").agg((F.max("slot") + 1).alias("first_out"), F.max("below").alias("extra"))
+    uses = cut(uses.join(ends, "source", "left").fillna(0, ["first_out", "extra"]))
+    repeats = F.col("whole") + (F.col("slot") < F.col("first_out")).cast("int")
+    chosen = sized.join(F.broadcast(uses.select("source", "whole", "first_out")), "source").withColumn("repeats", repeats).where("repeats > 0")
+    used = uses.withColumn("used_tokens", F.col("whole") * F.col("size") + F.col("extra"))
+    all_ = used.agg(F.greatest(F.coalesce(F.sum("used_tokens"), F.lit(0)), F.lit(1)).alias("all"))
+    shares = used.join(F.broadcast(all_)).select(
+        "source",
+        "target_share",
+        (F.col("used_tokens") / F.col("all")).alias("actual_share"),
+        F.col("size").alias("available_tokens"),
+        "used_tokens",
+        F.when(F.col("size") > 0, F.col("used_tokens") / F.col("size")).otherwise(0.0).alias("epochs"),
     )
-    return chosen, shares
+    return chosen.select("doc_id", "source", "n_tokens", "repeats"), shares
+
+
+def available(plan: list[Target]) -> float:
+    """As many tokens as the sources hold together."""
+    return float(sum(t.size for t in plan))
 
 
 @query("p9_chosen")
@@ -131,3 +145,14 @@ def p9_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("p9_shares")
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+@query("p9_filled_chosen")
+def p9_filled_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix as large as all sources together; those that can't fill their share are clamped at their cap."""
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), available)[0]
+
+
+@query("p9_filled_shares")
+def p9_filled_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), available)[1]

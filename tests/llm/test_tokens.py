@@ -80,6 +80,22 @@ def test_water_filling():
     assert mixing.water_fill([mixing.Target("a", 1.0, 3, 0)]) == 0
 
 
+def test_a_filled_mix_clamps_and_redistributes(spark):
+    rng = random.Random(6)
+    rows = [(i, "abc"[min(2, i % 4)], "ord " * rng.randint(1, 30)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.2, 3), ("c", 0.2, 3)], "source string, target_share double, max_repeats int")
+    chosen, shares = mixing.mix(docs, targets, mixing.available)
+    got = {r["source"]: r for r in shares.collect()}
+    used = {r["source"]: r["n"] for r in chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("n")).collect()}
+    assert used == {k: v["used_tokens"] for k, v in got.items()}
+    size = {k: v["available_tokens"] for k, v in got.items()}
+    assert used["a"] == size["a"] and got["a"]["actual_share"] < 0.3
+    rest = (sum(size.values()) - size["a"]) / 2
+    assert used["b"] == pytest.approx(rest, rel=0.01) and used["c"] == pytest.approx(rest, rel=0.01)
+    assert {k: v["actual_share"] for k, v in got.items()} == pytest.approx({k: n / sum(used.values()) for k, n in used.items()})
+
+
 def test_mix(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["a", "b", None, "other"]), "ord " * rng.randint(1, 30), 1) for i in range(800)] + [(900, "a", None, 1), (901, "a", "", 1), (902, "c", "en ", 1)]
