@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.fields import FIELD, labelled_fields, plain_text, same_letters
 from corpusloom.llm.registry import query
-from corpusloom.session import cut, table
+from corpusloom.session import cut, meet, table
 
 #: The multiset hash adds field hashes modulo this prime, so no sum overflows.
 PRIME = (1 << 61) - 1
@@ -20,23 +20,15 @@ def multiset_hash(fields: Column, seed: int) -> Column:
 
 
 def fingerprints(df: DataFrame, key: str, content: str, seed: int) -> DataFrame:
-    """``(key, letters, fields, h1, h2, f1, f2)`` of every content that isn't null or blank.
+    """``(key, h, f1, f2, fields)`` of every content that isn't null or blank.
 
-    ``h`` is a 128-bit hash of the letters and digits in their order, ``f`` a
+    ``h`` is the SHA-256 of the letters and digits in their order, ``f`` a
     multiset hash of the labelled fields, null for other content.
     """
     texts = df.select(F.col(key), plain_text(F.col(content)).alias("text"))
     texts = texts.where(F.col("text").rlike(r"[^\s\p{Z}]"))
-    rows = texts.select(key, same_letters(F.col("text")).alias("letters"), labelled_fields(F.col("text")).alias("fields"))
-    return rows.select(
-        key,
-        "letters",
-        "fields",
-        F.xxhash64(F.lit(seed), "letters").alias("h1"),
-        F.xxhash64(F.lit(-seed), "letters").alias("h2"),
-        multiset_hash(F.col("fields"), seed).alias("f1"),
-        multiset_hash(F.col("fields"), -seed).alias("f2"),
-    )
+    rows = texts.select(key, F.unhex(F.sha2(same_letters(F.col("text")), 256)).alias("h"), labelled_fields(F.col("text")).alias("fields"))
+    return rows.select(key, "h", multiset_hash(F.col("fields"), seed).alias("f1"), multiset_hash(F.col("fields"), -seed).alias("f2"), "fields")
 
 
 def unequal_fields(rows: DataFrame) -> DataFrame:
@@ -44,53 +36,48 @@ def unequal_fields(rows: DataFrame) -> DataFrame:
 
     Verified without sorting and without comparing pairs: if the members of a
     fingerprint hold the same fields, every (label, value) is in all of them,
-    and as often in each.
+    and as often in each.  Members of one spelling hold the same fields, so one
+    counts for all.
     """
-    members = rows.where("f1 IS NOT NULL").dropDuplicates(["h1", "h2", "f1", "f2"])
-    one = members.select("h1", "h2", "f1", "f2", F.explode("fields").alias("field"))
-    times = one.groupBy("h1", "h2", "f1", "f2", "field").agg(F.count("*").alias("times"))
-    over = times.groupBy("f1", "f2", "field").agg(
-        F.count("*").alias("holders"), F.min("times").alias("least"), F.max("times").alias("most")
-    )
-    total = members.groupBy("f1", "f2").agg(F.count("*").alias("members"))
-    return over.join(total, ["f1", "f2"]).where("holders <> members OR least <> most").select("f1", "f2").distinct()
-
-
-def classes(df: DataFrame, key: str = "box_id", content: str = "content", seed: int = 11) -> tuple[DataFrame, DataFrame, int]:
-    """Spellings and contents: ``(h1, h2, c1, c2)``, ``(c1, c2, first_<key>, n_copies)``, and the seed that held.
-
-    Rows are grouped by their letters beside the hash of these, which verifies
-    equality exactly and without a sort; rows of one content combine before the
-    shuffle, so that a content of a third of all rows is one row per task there.
-    Spellings of labelled fields then meet by their multiset fingerprint, whose
-    equality ``unequal_fields`` verifies.  Should any fingerprint hold unequal
-    members, all is hashed anew with the next seed.
+    members = rows.where("f1 IS NOT NULL").select("h", "f1", "f2", "fields").distinct()
+    spelled = members.groupBy("f1", "f2").agg(F.count("*").alias("members")).where("members > 1")
+    one = meet(members, spelled, ["f1", "f2"]).select("h", "f1", "f2", "members", F.monotonically_increasing_id().alias("member"), F.explode("fields").alias("field"))
+    times = one.groupBy("f1", "f2", "members", "member", "field").agg(F.count("*").alias("times"))
+    over = times.groupBy("f1", "f2", "members", "field").agg(F.count("*").alias("holders"), F.min("times").alias("least"), F.max("times").alias("most"))
+    return over.where("holders <> members OR least <> most").select("f1", "f2").distinct()
+
+
+def classes(df: DataFrame, key: str = "box_id", content: str = "content", seed: int = 11) -> tuple[DataFrame, DataFrame]:
+    """``(key, h)`` of every row with content, and ``(h, label, first, n)`` of every spelling: its content, smallest key and number of rows.
+
+    The table is read once; fingerprints go to the shared folder.  Rows of one
+    spelling combine before the shuffle, by hash and without a sort, so that a
+    content of a third of all rows is one row per task there.  Spellings of
+    labelled fields meet by their multiset fingerprint, whose equality
+    ``unequal_fields`` verifies; should any hold unequal members, all is hashed
+    anew with the next seed.  Spellings with a fingerprint in common, and those
+    these have one in common with, take the smallest key among them as label;
+    all others are contents of their own, with a null label.
     """
     for seed in range(seed, seed + 8):
-        rows = fingerprints(df, key, content, seed)
-        parsed = rows.groupBy("h1", "h2", "letters", "f1", "f2").agg(F.min(key).alias("first"), F.count("*").alias("n"))
-        parsed = cut(parsed.drop("letters"))
-        spellings = cut(
-            parsed.groupBy("h1", "h2").agg(
-                F.min(F.struct("f1", "f2")).alias("f"), F.min("first").alias("first"), F.sum("n").alias("n")
-            )
-        )
-        unequal = parsed.groupBy("h1", "h2", "f1", "f2").agg(F.count("*").alias("texts")).where("texts > 1")
-        if unequal.isEmpty() and unequal_fields(rows).isEmpty():
+        rows = cut(fingerprints(df, key, content, seed))
+        if unequal_fields(rows).isEmpty():
             break
     else:
         raise RuntimeError("no seed gives each content its own fingerprint")
-    by_fields = F.col("f.f1").isNotNull()
-    spellings = spellings.select(
-        "h1",
-        "h2",
-        F.when(by_fields, F.col("f.f1")).otherwise(F.col("h1")).alias("c1"),
-        F.when(by_fields, -F.col("f.f2") - 1).otherwise(F.col("h2")).alias("c2"),
-        "first",
-        "n",
-    )
-    contents = spellings.groupBy("c1", "c2").agg(F.min("first").alias(f"first_{key}"), F.sum("n").alias("n_copies"))
-    return spellings.drop("first", "n"), contents, seed
+    spellings = cut(rows.groupBy("h").agg(F.min(key).alias("first"), F.count("*").alias("n")))
+    of_fields = rows.where("f1 IS NOT NULL").select("h", "f1", "f2").distinct()
+    several = of_fields.groupBy("f1", "f2").agg(F.count("*").alias("spellings")).where("spellings > 1").drop("spellings")
+    of_fields = cut(meet(of_fields, several, ["f1", "f2"]))
+    labels = cut(meet(spellings.where("first IS NOT NULL"), of_fields.select("h").distinct(), "h", "left_semi").select("h", F.col("first").alias("label")))
+    while True:
+        least = meet(of_fields, labels, "h").groupBy("f1", "f2").agg(F.min("label").alias("least"))
+        least = meet(of_fields, least, ["f1", "f2"]).groupBy("h").agg(F.min("least").alias("least"))
+        after = cut(meet(least, labels, "h", "left").select("h", F.col("least").alias("label"), (~F.col("least").eqNullSafe(F.col("label"))).alias("moved")))
+        labels = after.drop("moved")
+        if after.where("moved").isEmpty():
+            break
+    return rows.select(key, "h"), meet(spellings, labels, "h", "left")
 
 
 def collapse(df: DataFrame, key: str = "box_id", content: str = "content") -> DataFrame:
@@ -103,15 +90,17 @@ def collapse(df: DataFrame, key: str = "box_id", content: str = "content") -> Da
     Repeated rows count as copies, null keys too, though they are nobody's
     first.  An empty table gives no rows.
     """
-    return classes(df, key, content)[1].select(f"first_{key}", "n_copies")
+    spellings = classes(df, key, content)[1]
+    alone = spellings.where("label IS NULL").select(F.col("first").alias(f"first_{key}"), F.col("n").alias("n_copies"))
+    labelled = spellings.where("label IS NOT NULL").groupBy(F.col("label").alias(f"first_{key}")).agg(F.sum("n").alias("n_copies"))
+    return alone.unionByName(labelled)
 
 
 def copies(df: DataFrame, key: str = "box_id", content: str = "content") -> DataFrame:
     """Every key that isn't the first with its content, beside that first: ``(first_<key>, key)``."""
-    spellings, contents, seed = classes(df, key, content)
-    repeated = spellings.join(contents.where("n_copies > 1"), ["c1", "c2"]).select("h1", "h2", f"first_{key}")
-    rows = fingerprints(df, key, content, seed).select(key, "h1", "h2")
-    pairs = rows.join(repeated, ["h1", "h2"]).select(f"first_{key}", key)
+    rows, spellings = classes(df, key, content)
+    repeated = spellings.where("n > 1 OR label IS NOT NULL").select("h", F.coalesce("label", "first").alias(f"first_{key}"))
+    pairs = meet(rows, repeated, "h").select(f"first_{key}", key)
     return pairs.where(F.col(key) > F.col(f"first_{key}")).distinct()
 
 

@@ -79,11 +79,20 @@ def test_collapse(spark):
     assert formatting.copies(df.where("false")).count() == 0
     hot = spark.range(3000).select(F.col("id").alias("box_id"), F.lit("samma text").alias("content"))
     assert formatting.copies(hot).count() == 2999
+    # the second and third meet by their fields, the first and second by their letters
+    chain = ["Sälj: es, Pris: 5; Ort: Ek; Skick: nytt", "Sälj: es; Pris: 5; Ort: Ek; Skick: nytt", "Pris: 5; Sälj: es; Ort: Ek; Skick: nytt"]
+    rows = [(k, t) for k, t in zip((7, 5, 6), chain)] + [(None, chain[0]), (None, "utan"), (None, "utan")]
+    df = spark.createDataFrame(rows, "box_id long, content string")
+    assert {tuple(r) for r in formatting.collapse(df).collect()} == {(5, 4), (None, 2)}
+    assert {tuple(r) for r in formatting.copies(df).collect()} == {(5, 6), (5, 7)}
+    plan = formatting.copies(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Broadcast" not in plan
 
 
 def test_unequal_fields_are_told(spark):
-    rows = [(1, 1, 5, 5, [("a", "1"), ("b", "2")]), (2, 2, 5, 5, [("b", "2"), ("a", "1")]), (3, 3, 6, 6, [("a", "1")]), (4, 4, 6, 6, [("a", "1"), ("a", "1")])]
-    df = spark.createDataFrame(rows, "h1 long, h2 long, f1 long, f2 long, fields array<struct<label: string, value: string>>")
+    rows = [(b"1", 5, 5, [("a", "1"), ("b", "2")]), (b"2", 5, 5, [("b", "2"), ("a", "1")]), (b"3", 6, 6, [("a", "1")]), (b"4", 6, 6, [("a", "1"), ("a", "1")])]
+    rows += [(b"5", 7, 7, [("a", "1")]), (b"5", 7, 7, [("a", "1")])]
+    df = spark.createDataFrame(rows, "h binary, f1 long, f2 long, fields array<struct<label: string, value: string>>")
     assert [tuple(r) for r in formatting.unequal_fields(df).collect()] == [(6, 6)]
 
 
