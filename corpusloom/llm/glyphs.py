@@ -38,8 +38,8 @@ def invisible() -> frozenset[str]:
 
 
 @cache
-def one_form() -> dict[int, str]:
-    """Code point to its canonical or same-looking decomposition with look-alikes replaced; '' where it is invisible.
+def one_form(letters: bool = True) -> dict[int, str]:
+    """Code point to its canonical or same-looking decomposition with look-alikes replaced (or with ``letters`` false kept); '' where it is invisible.
 
     Only code points that change; their marks are still apart, to be ordered and recomposed.
     """
@@ -47,9 +47,9 @@ def one_form() -> dict[int, str]:
 
     def expand(c: str) -> str:
         rule = unicodedata.decomposition(c)
-        if c in alike:
+        if letters and c in alike:
             return alike[c]
-        if not rule:
+        if not rule or 0x3131 <= ord(c) <= 0x318E:  # Korean letters that stand apart
             return c
         head, *rest = rule.split()
         if head.startswith("<") and head not in SAME_LOOK:
@@ -62,7 +62,7 @@ def one_form() -> dict[int, str]:
 
     for code in range(sys.maxunicode + 1):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
-            continue
+            continue  # Korean syllables are composed by rule
         c = chr(code)
         if c in gone:
             found[code] = ""
@@ -84,3 +84,30 @@ def compositions() -> dict[str, str]:
             if unicodedata.normalize("NFC", pair) == chr(code):
                 found[pair] = chr(code)
     return found
+
+
+#: First of the Korean syllables and of the leading, vowel and trailing letters, and how many there are.
+SYLLABLE, LEADING, VOWEL, TRAILING = 0xAC00, 0x1100, 0x1161, 0x11A7
+LEADINGS, VOWELS, TRAILINGS = 19, 21, 28
+
+
+@cache
+def joining() -> frozenset[str]:
+    """Code points that belong to the character before them: marks, what composes with a starter, and what is invisible."""
+    follows = {pair[1] for pair in compositions()} | {chr(c) for c in range(VOWEL, VOWEL + VOWELS)} | {chr(c) for c in range(TRAILING + 1, TRAILING + TRAILINGS)}
+    found = {chr(c) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))} | follows
+    for code, to in one_form().items():
+        if not to or unicodedata.combining(to[0]) or to[0] in follows:
+            found.add(chr(code))
+    return frozenset(found)
+
+
+def character_class(chars) -> str:
+    """The inside of a character class of a pattern (Java syntax) that holds these."""
+    codes, out = sorted(map(ord, chars)), []
+    for code in codes:
+        if out and out[-1][1] == code - 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out)

@@ -52,6 +52,7 @@ def test_one_form(spark):
     odd = "aåȩ̣́̊ｅＡﬁⅼ‍­  ﻿еοАΤ½²…의ば゙は가가😀\r\n x"
     texts = ["", None, "plain", "é", "́", "ạ́", "ạ́", "‍", "х́", "Å̊Å"]
     texts += ["".join(rng.choice(odd) for _ in range(rng.randint(1, 25))) for _ in range(120)]
+    texts += ["\u1100\u1161", "\uac00", "\u1112\u1161\u11ab\uac00\u11a8x\u1161", "\u1100\u200b\u1161\u11a7", "\u3131\u314f", "漢字" * 5000, "a" + "\u0301\u0323" * 40]
     texts += [texts[20], texts[20]]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "crawl_id long, content string, h1 string")
     got = {r["crawl_id"]: r["form"] for r in lookalike.one_form_texts(df, ["crawl_id"]).collect()}
@@ -65,6 +66,19 @@ def test_look_alike_pairs(spark):
     got = {tuple(r) for r in lookalike.look_alike_pairs(df).collect()}
     assert got == {(0, 1), (0, 3), (1, 2), (1, 3), (2, 3)}
     assert lookalike.look_alike_pairs(df.where("false")).count() == 0
+    assert {tuple(r) for r in lookalike.look_alike_classes(df).collect()} == {(0, 0, 2), (1, 0, 3), (2, 0, 2), (3, 0, 3), (4, 4, 0), (5, 5, 0)}
+    korean = spark.createDataFrame([(1, "\uac00"), (2, "\u1100\u1161"), (3, "\u3131\u314f")], "crawl_id long, content string")
+    assert [tuple(r) for r in lookalike.look_alike_pairs(korean).collect()] == [(1, 2)]
+    hot = spark.range(4000).select(F.col("id").alias("crawl_id"), F.when(F.col("id") == 7, "ｅｎ båt").otherwise("en båt").alias("content"))
+    assert lookalike.look_alike_pairs(hot).count() == 3999
+
+
+def test_readable_texts_keep_words_of_one_script(spark):
+    rows = [(1, "Москва и POCA"), (2, "Pоса\n ｂåt Αθήνα"), (3, "plain"), (4, None), (5, "")]
+    got = {r["crawl_id"]: (r["form"], r["text"]) for r in lookalike.readable_texts(spark.createDataFrame(rows, "crawl_id long, content string"), "crawl_id").collect()}
+    assert got[1][1] == "Москва и POCA" and got[1][0] != got[1][1]
+    assert got[2] == ("Poca\n båt Aθήvα", "Poca\n båt Αθήνα")
+    assert got[3] == ("plain", "plain") and got[4] == (None, None) and got[5] == ("", "")
 
 
 def test_collapse(spark):
