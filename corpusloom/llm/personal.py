@@ -1,14 +1,18 @@
 """Problem 1: find personal information in free text and replace it by typed placeholders.
 
-An Aho-Corasick automaton over cheap anchors (at-signs, telephone prefixes,
-pairs of digits, street endings, titles, first names, initials) walks each text
-once; at every anchor a deterministic parser expands to the boundaries of the
-item and validates it.  Text without anchors is never looked at again.
+An Aho-Corasick automaton over cheap anchors (at-signs, schemes, telephone
+prefixes, pairs of digits, account cues, street endings, titles, first names,
+initials, words that introduce a person) walks each text once; at every anchor a
+deterministic parser expands to the boundaries of the item and validates it.
+Addresses of pages and numbers of accounts are recognised too, so that nothing
+within them is taken for something else; they stay.  Text without anchors is
+never looked at again.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right, insort
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +56,15 @@ STREET_ENDINGS = """
 gatan vägen gränd gränden stigen backen allén alléen torget esplanaden promenaden stråket leden strand stranden
 kajen brinken slingan svängen rundeln platsen
 """.split()
+#: How streets of other countries end, and the words for one beside a number.
+FOREIGN_ENDINGS = "gade vej stræde straße strasse katu kuja".split()
+STREET_WORDS = "street road avenue lane drive square terrace".split()
+#: What announces the number of an account.
+ACCOUNT_CUES = "iban bankgiro plusgiro postgiro kontonummer kontonr clearing".split()
+#: Words after which two capitalised words are a person.
+PERSON_CUES = """
+heter hette namn undertecknad kontaktperson kontakta ringer säger sade berättar skriver svarar intervjuar hälsar
+""".split()
 #: Words that follow no first name as a surname, and abbreviations that aren't initials.
 NOT_SURNAMES = frozenset(
     """
@@ -69,8 +82,6 @@ WORD_NAMES = frozenset("per stig kaj dan linda tor siv boel viola".split())
 
 _L = "[^\\W\\d_]"
 _AT = r"@|\(\s*at\s*\)|\[\s*at\s*\]|[\[(]\s*snabel-?a\s*[\])]"
-_LOCAL = re.compile(rf"(?:{_L}|\d)(?:{_L}|[\d.+_-])*\Z")
-_LOCAL_SPACED = re.compile(rf"(?:{_L}|\d)(?:{_L}|[\d+_-])*(?:\s*\.\s*(?:{_L}|\d)(?:{_L}|[\d+_-])*)*\Z")
 _LABEL = rf"(?:{_L}|\d)(?:{_L}|[\d-])*"
 _DOMAIN = re.compile(rf"{_LABEL}(?:\.{_LABEL})+")
 _DOT = r"(?:\s*[\[(]\s*(?:punkt|dot)\s*[\])]\s*|\s+\.\s+|\.)"
@@ -86,12 +97,18 @@ _PHONE = re.compile(
 _IDNUM = re.compile(
     r"(?P<y>(?:18|19|20)?\d\d)(?P<m>0[1-9]|1[0-2])(?P<d>[06][1-9]|[1278]\d|[39][01])(?:\s?[-–—+]\s?|\s)?\d{4}(?![\d\w])(?!-\d)"
 )
+_ABROAD = re.compile(rf"(?:\+|00)(?!46)[1-9]\d{{0,2}}(?:{_SEP}\(0\))?(?P<rest>(?:{_SEP}\d{{1,9}})+)(?![\d\w])")
+_PAGE_ADDRESS = re.compile(r"[^\s<>\"”’)\]]*")
+_ACCOUNT = re.compile(r"(?:\s*(?:nr|nummer|no)?\.?\s*:?\s*)(?P<n>[A-Za-z]{2}\d{2}(?:\s?[A-Za-z0-9]{4}){2,7}(?:\s?[A-Za-z0-9]{1,3})?|\d[\d\s-]{4,24}\d)(?!\w)")
+_NUMBERED = re.compile(rf"(?<![\w])\d{{1,4}}[A-Za-z]?\s+(?:{_L}[^\W\d_'’.-]*\s+){{1,3}}\Z")
+_PERSON = re.compile(rf"(?:\s*:)?\s+(?P<f>{_L}{{2,}}(?:-{_L}+)?)\s+(?P<n>{_L}{{2,}}(?:-{_L}+)?)(?!\w)")
 _HOUSE = re.compile(r"\s+\d{1,3}(?:\s?[A-Ha-h])?(?!\w)(?![.:,]\d)")
 _WORD = rf"{_L}(?:{_L}|['’-](?={_L}))*"
 _SURNAME = re.compile(rf"\s+(?P<n>{_WORD})")
 _BEFORE_COMMA = re.compile(rf"(?P<n>{_WORD}),\s+\Z")
 _FURTHER = re.compile(rf"[\s -](?P<n>{_L}\.|{_L}+)(?!\w)")
-_TITLED = re.compile(rf"\.?[\s ]+(?:{_L}\.[\s ]?)*(?P<n>{_WORD})")
+_TITLED = re.compile(rf"\.?\s+(?:{_L}\.\s?)*(?P<n>{_WORD})")
+_NEIGHBOURS = re.compile(rf"(?<!\w)(?=({_L}{{2,}})\s+({_L}{{2,}})(?!\w))")
 _INITIALS = re.compile(rf"(?:{_L}\.\s?){{1,4}}(?<=\s)(?P<n>{_WORD})")
 _VOWEL = re.compile("[aeiouyåäöéæø]")
 
@@ -102,6 +119,27 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+#: Of what kind an item is that a parser of another name finds.
+PARSED = {"abroad": "phone", "foreign": "address", "street": "address"}
+
+
+def _local(low: str, first: int, stop: int) -> int | None:
+    """Where a local part of letters, digits and ``.+_-`` begins that ends at ``stop``; null if there is none."""
+    start = stop
+    while start > first and (low[start - 1].isalpha() or low[start - 1].isdecimal() or low[start - 1] in ".+_-"):
+        start -= 1
+    while start < stop and not (low[start].isalpha() or low[start].isdecimal()):
+        start += 1
+    return start if start < stop else None
+
+
+def _before_spaces(low: str, first: int, stop: int) -> int:
+    """Where the white space begins that ends at ``stop``."""
+    while stop > first and low[stop - 1].isspace():
+        stop -= 1
+    return stop
+
+
 class Finder:
     """The automaton and its parsers."""
 
@@ -118,8 +156,14 @@ class Finder:
 
         add("email", ["@", "(at)", "( at )", "[at]", "[ at ]", "snabel-a", "snabela"])
         add("phone", ["+46", "0046", *(f"{z}{d}" for z in "0o" for d in range(1, 10))])
+        add("abroad", [f"{z}{d}" for z in ("+", "00") for d in range(1, 10)])
+        add("page", ["://"])
+        add("account", ACCOUNT_CUES)
         add("idnum", [f"{a}{b}" for a in range(10) for b in range(10)])
         add("address", STREET_ENDINGS)
+        add("foreign", FOREIGN_ENDINGS)
+        add("street", STREET_WORDS)
+        add("person", PERSON_CUES)
         add("title", TITLES)
         add("title", [t.replace(".", ". ").strip() for t in TITLES if "." in t])
         add("first", FIRST_NAMES)
@@ -133,74 +177,148 @@ class Finder:
         """``(start, end, kind)`` of the items of a text, in order and disjoint."""
         low = _lower(text)
         caseless = low == text
-        found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-        past = dict.fromkeys(KINDS, 0)
+        found: dict[str, list[tuple[int, int]]] = {k: [] for k in (*KINDS, "page", "account")}
+        past = dict.fromkeys(found, 0)
         names: list[tuple[int, int, str]] = []
         for last, (size, kinds) in self.auto.iter(low):
-            at = last + 1 - size
+            at, end = last + 1 - size, last + 1
             for kind in kinds:
-                if kind == "email" and at >= past["email"]:
-                    span = self._email(low, at)
-                elif kind in ("phone", "idnum", "address"):
-                    if at < past[kind]:
-                        continue
-                    span = getattr(self, f"_{kind}")(text, low, at, last + 1)
-                elif kind in ("title", "first", "initial"):
-                    names.append((at, last + 1, kind))
+                if kind in ("title", "first", "initial", "person"):
+                    names.append((at, end, kind))
                     continue
-                else:
+                of = PARSED.get(kind, kind)
+                if at < past[of]:
                     continue
+                if kind == "email":
+                    span = self._email(low, at, past[kind])
+                else:
+                    span = getattr(self, f"_{kind}")(text, low, at, end)
                 if span:
-                    found[kind].append(span)
-                    past[kind] = span[1]
+                    found[of].append(span)
+                    past[of] = span[1]
         taken: list[tuple[int, int, str]] = []
 
-        def take(spans, kind):
-            for a, b in spans:
-                if not any(a < d and c < b for c, d, _ in taken):
-                    taken.append((a, b, kind))
+        def free(a: int, b: int) -> bool:
+            """Whether no item taken so far, which are disjoint and in order, overlaps."""
+            k = bisect_right(taken, (a, len(text) + 1, ""))
+            return (not k or taken[k - 1][1] <= a) and (k == len(taken) or taken[k][0] >= b)
 
-        for kind in KINDS[:-1]:
-            take(found[kind], kind)
+        for kind in ("page", "account", *KINDS[:-1]):
+            for a, b in found[kind]:
+                if free(a, b):
+                    insort(taken, (a, b, kind))
         seen = 0
+        locals_ = frozenset(frozenset(re.split(r"[._+-]", low[a:b].partition("@")[0])) for a, b in found["email"])
         for at, end, kind in names:
-            if at < seen or any(c <= at < d for c, d, _ in taken):
+            if at < seen or not free(at, at + 1):
                 continue
             if kind == "first":
                 span = self._first(text, at, end, caseless, seen)
+            elif kind == "person":
+                span = self._person(text, at, end, caseless)
             else:
                 span = getattr(self, f"_{kind}")(text, low, at, end, caseless)
-            if span:
-                take([span], "name")
+            if span and free(*span):
+                insort(taken, (*span, "name"))
                 seen = span[1]
-        return sorted(taken)
+        for a, b in self._of_addresses(text, low, locals_) if locals_ else ():
+            if free(a, b):
+                insort(taken, (a, b, "name"))
+        return [t for t in taken if t[2] in PLACEHOLDER]
 
     @staticmethod
-    def _email(low: str, at: int):
+    def _email(low: str, at: int, past: int):
+        """An address around an at-sign, its local part after the address or at-sign before."""
         if low[at] not in "@([":
-            at = max(low.rfind("[", max(0, at - 4), at), low.rfind("(", max(0, at - 4), at))
+            at = max(low.rfind("[", max(past, at - 4), at), low.rfind("(", max(past, at - 4), at))
             if at < 0:
                 return None
         sign = _AT_FORM.match(low, at)
         if not sign:
             return None
-        before, end = low[max(0, at - 80) : at], sign.end()
-        spaced = before[-1:].isspace() or sign.group() != "@"
+        end = sign.end()
+        first = max(past, low.rfind("@", past, at) + 1)
+        spaced = low[at - 1 : at].isspace() or sign.group() != "@"
+        local = _local(low, first, _before_spaces(low, first, at) if spaced else at)
         if not spaced:
-            local, domain = _LOCAL.search(before), _DOMAIN.match(low, end)
+            domain = _DOMAIN.match(low, end)
         else:
-            bare = before.rstrip()
-            strict = _LOCAL.search(bare)
-            wide = _LOCAL_SPACED.search(bare)
             # "gerda . sjöberg @ ..." spaces its dots too; else the local part is one word
-            local = wide if wide and re.search(r"\s\.\s", wide.group()) else strict
+            while local is not None:
+                dot = _before_spaces(low, first, local) - 1
+                k = _before_spaces(low, first, dot)
+                if not first <= dot < local - 1 or low[dot] != "." or k == dot or (further := _local(low, first, k)) is None:
+                    break
+                local = further
             domain = _DOMAIN_SPACED.match(low, end)
-        if not local or not domain:
+        if local is None or not domain:
             return None
         labels = re.split(_DOT, domain.group().strip())
         if not re.fullmatch(rf"{_L}{{2,}}", labels[-1]):
             return None
-        return max(0, at - 80) + local.start(), domain.end()
+        return local, domain.end()
+
+    @staticmethod
+    def _page(text: str, low: str, at: int, end: int):
+        start = at
+        while start and (low[start - 1].isalnum() or low[start - 1] in "+.-"):
+            start -= 1
+        return (start, _PAGE_ADDRESS.match(text, end).end()) if start < at else None
+
+    @staticmethod
+    def _account(text: str, low: str, at: int, end: int):
+        if at and low[at - 1].isalnum():
+            return None
+        m = _ACCOUNT.match(text, end)
+        if not m:
+            return None
+        number = re.sub(r"[\s-]", "", m["n"]).upper()
+        if number[:2].isalpha():
+            turned = "".join(str(int(c, 36)) for c in number[4:] + number[:4])
+            return m.span("n") if int(turned) % 97 == 1 else None
+        return m.span("n")
+
+    @staticmethod
+    def _abroad(text: str, low: str, at: int, end: int):
+        if at and (text[at - 1].isalnum() or text[at - 1] in "-–+/.,:=_@"):
+            return None
+        m = _ABROAD.match(text, at)
+        if not m or (low[at] == "0" and not re.search(r"[\s/.–-]", m.group())):
+            return None
+        digits = sum(c.isdigit() for c in m.group()) - 2 * (low[at] == "0")
+        return m.span() if 8 <= digits <= 15 else None
+
+    def _foreign(self, text: str, low: str, at: int, end: int):
+        span = self._address(text, low, at, end)
+        return span if span and text[span[0]].isupper() else None
+
+    @staticmethod
+    def _street(text: str, low: str, at: int, end: int):
+        if not text[at].isupper() or not text[at - 1 : at].isspace() or text[end : end + 1].isalnum():
+            return None
+        start = at
+        for _ in range(4):  # a number, up to three words, and the word for a street
+            start = _before_spaces(low, 0, start)
+            while start and not low[start - 1].isspace():
+                start -= 1
+        m = _NUMBERED.search(text, start, at)
+        return (m.start(), end) if m and all(w[0].isupper() for w in m.group().split()[1:]) else None
+
+    def _person(self, text: str, at: int, end: int, caseless: bool):
+        if caseless or (at and text[at - 1].isalnum()) or text[end : end + 1].isalnum():
+            return None
+        m = _PERSON.match(text, end)
+        if not m or not m["f"].istitle() or not m["n"].istitle() or not self._surname(m, False) or m["f"].lower() in NOT_SURNAMES:
+            return None
+        return m.start("f"), m.end()
+
+    @staticmethod
+    def _of_addresses(text: str, low: str, locals_: frozenset):
+        """Two neighbouring words that are parts of the local part of one of the text's addresses."""
+        for m in _NEIGHBOURS.finditer(text):
+            pair = {m[1].lower(), m[2].lower()}
+            if len(pair) == 2 and m[1][0].isupper() and m[2][0].isupper() and any(pair <= parts for parts in locals_):
+                yield m.start(1), m.end(2)
 
     @staticmethod
     def _phone(text: str, low: str, at: int, end: int):
@@ -277,7 +395,7 @@ class Finder:
             return None
         if text[end : end + 1].isalnum():
             return None
-        m = re.compile(rf"\.?\s+(?:{_L}\.\s?)*(?P<n>{_WORD})").match(text, end)
+        m = _TITLED.match(text, end)
         if not m or not self._surname(m, caseless):
             return None
         stop = m.end()

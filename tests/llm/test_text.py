@@ -1,4 +1,5 @@
 import random
+import time
 import unicodedata
 
 import numpy as np
@@ -30,6 +31,21 @@ def test_personal_kinds():
         assert kinds_of(t) == [], t
 
 
+def test_personal_items_beyond_the_lists():
+    found = lambda t: [(t[a:b], k) for a, b, k in personal.Finder().spans(t)]
+    local = "x" * 500
+    assert found(f"till {local}@a.test") == [(f"{local}@a.test", "email")]
+    assert found("gerda . sjöberg @ x . test och åke@y.test") == [("gerda . sjöberg @ x . test", "email"), ("åke@y.test", "email")]
+    assert found("https://ek:hemligt@host.test/0812345678 mailto:ek@host.test") == [("ek@host.test", "email")]
+    assert found("IBAN SE45 5000 0000 0583 9825 7466, bankgiro 0505-105512") == [] and found("+47 22 12 34 56") == [("+47 22 12 34 56", "phone")]
+    assert found("12 Baker Street, Nørregade 7") == [("12 Baker Street", "address"), ("Nørregade 7", "address")] and found("nya Street 12") == []
+    assert found("Zeynep Yilmaz, zeynep.yilmaz@x.test")[0] == ("Zeynep Yilmaz", "name") and found("Zeynep Yilmaz") == []
+    assert found("Kontakta Mohammed Hassan.") == [("Mohammed Hassan", "name")] and found("Kontakta Kyrkan AB") == []
+    began = time.perf_counter()
+    assert len(found("Karin Ekvret och " * 20_000)) == 20_000 and time.perf_counter() - began < 5
+    assert personal.Finder().spans("a@" * 100_000 + "b.test")[-1][1] == 200_006
+
+
 def test_redact(spark):
     rows = [(1, "Ring Karin Ek, 08-465 004 42!", "x"), (1, "Ring Karin Ek, 08-465 004 42!", "x"), (2, None, "x"), (3, "", "x"), (4, "Almvägen 3 A. När fisk", "x"), (None, "a@b.test", "x")]
     df = spark.createDataFrame(rows, "box_id long, content string, kinds string")
