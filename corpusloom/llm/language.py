@@ -4,8 +4,9 @@ Character language models with interpolated Kneser-Ney smoothing, one per
 language, are kept together in sorted arrays of n-gram hashes with one column of
 log probabilities per language, so that one binary search per position serves
 all languages.  A segment has the language of lowest cross-entropy per
-character; a logistic calibration on held-out segments turns margin and length
-into a confidence, below which the segment goes with its record.
+character; a logistic calibration on cuts of held-out segments turns margin and
+length into a confidence, below which the segment goes with its record.  Text
+that no model explains better than it explains the other languages is rejected.
 """
 
 from __future__ import annotations
@@ -39,8 +40,12 @@ ORDER = 4
 #: Bounds of the labelled sample: texts per language and characters per text.
 SAMPLE_TEXTS = 300
 SAMPLE_CHARS = 4000
+#: What a text is labelled that is in none of the languages.
+UNKNOWN = "und"
 #: Below this confidence a segment is given the language of its record.
 REJECT = 0.9
+#: Lengths of the cuts on which confidence is calibrated.
+CUTS = (8, 14, 25, 60)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -103,6 +108,7 @@ class Models:
     backoff: list[np.ndarray] = field(default_factory=list)
     unseen: float = -14.0
     calibration: tuple[float, float, float] = (-2.0, 40.0, 0.3)
+    foreign: float = float("inf")
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy in nats per character of each text by language, and the texts' lengths."""
@@ -128,14 +134,14 @@ class Models:
         sums = np.add.reduceat(total, starts, axis=0) if len(texts) else np.zeros((0, len(LANGUAGES)))
         return -sums / length[:, None], length
 
-    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the best language of each text, and the confidence in it."""
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the best language of each text, the confidence in it, and the cross-entropy in nats per character."""
         entropy, length = self.score(texts)
         best = entropy.argmin(1) if len(texts) else np.zeros(0, int)
         pair = np.partition(entropy, 1, axis=1)[:, :2] if len(texts) else np.zeros((0, 2))
         a, b, c = self.calibration
         z = a + (b + c * np.sqrt(length)) * (pair[:, 1] - pair[:, 0])
-        return best, np.where(length > 1, 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.0)
+        return best, np.where(length > 1, 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.0), pair[:, 0]
 
 
 def train(texts: list[list[str]]) -> Models:
@@ -203,6 +209,18 @@ def calibrate(models: Models, texts: list[str], labels: np.ndarray) -> None:
     models.calibration = tuple(float(k) for k in v / scale)
 
 
+def reject_foreign(models: Models, texts: list[str], labels: np.ndarray) -> None:
+    """Set the cross-entropy beyond which a text is in none of the languages, from held-out segments.
+
+    A foreign text is to the models what each language is to the models of the
+    others: beyond the mean of what the best wrong model gives, no model has
+    anything to say for it.
+    """
+    entropy, _ = models.score(texts)
+    entropy[np.arange(len(texts)), labels] = np.inf
+    models.foreign = float(entropy.min(1).mean())
+
+
 def labelled_sample(df: DataFrame, key: str, text: str, label: str, per_language: int = SAMPLE_TEXTS) -> list[tuple[str, str]]:
     """At most about ``per_language`` texts of each language, by the hash of their keys.
 
@@ -216,17 +234,25 @@ def labelled_sample(df: DataFrame, key: str, text: str, label: str, per_language
     wanted = F.lit(0)
     for lang, n in sizes.items():
         wanted = F.when(F.col("_lang") == lang, min(1_000_000, 1_000_000 * per_language // n + 1)).otherwise(wanted)
-    found = rows.where(slot < wanted).select("_lang", "_text").limit(4 * per_language * len(LANGUAGES)).collect()
+    rows = rows.withColumn("_slot", slot).where(F.col("_slot") < wanted)
+    found = rows.orderBy("_slot", key, "_text").limit(4 * per_language * len(LANGUAGES)).select("_lang", "_text").collect()
     return sorted((r["_lang"], r["_text"]) for r in found)
 
 
 def learn(sample: list[tuple[str, str]], rounds: int = 2) -> Models:
-    """Models from a sample with some wrong labels: segments that the models place elsewhere move there, and all is learned again."""
+    """Models from a sample with some wrong labels: segments that the models place elsewhere move there, and all is learned again.
+
+    A fifth of the segments is held out and keeps the labels given.  Those whose
+    label the models confirm on the whole segment serve, in short cuts that the
+    models may well get wrong, to calibrate confidence and rejection; the rest
+    of them is left out, for its label may be wrong.
+    """
     segments = [(LANGUAGES.index(lang), s) for lang, text in sample for line in text.split("\n") if len(s := normal(line)) >= 15]
     if not segments:
         segments = [(j, lang) for j, lang in enumerate(LANGUAGES)]
-    texts, labels = [s for _, s in segments], np.array([j for j, _ in segments])
+    texts, given = [s for _, s in segments], np.array([j for j, _ in segments])
     held = np.arange(len(texts)) % 5 == 4 if len(texts) >= 100 else np.zeros(len(texts), bool)
+    labels = given.copy()
     gather = lambda: [[texts[i] for i in np.flatnonzero((labels == j) & ~held)] or ["x"] for j in range(len(LANGUAGES))]
     models = train(gather())
     for _ in range(rounds):
@@ -234,11 +260,13 @@ def learn(sample: list[tuple[str, str]], rounds: int = 2) -> Models:
         models = train(gather())
     if held.any():
         rows = np.flatnonzero(held)
-        # whole segments are nearly always right; short cuts of them teach where confidence ends
-        cuts = [(texts[i][a : a + k], labels[i]) for i in rows for k in (8, 14, 25, 60) for a in (0, len(texts[i]) // 2)]
-        cuts += [(texts[i], labels[i]) for i in rows]
-        cuts = [(t.strip(), j) for t, j in cuts if len(t.strip()) > 3]
-        calibrate(models, [t for t, _ in cuts], np.array([j for _, j in cuts]))
+        best = models.score([texts[i] for i in rows])[0].argmin(1)
+        rows = rows[best == given[rows]]
+        cuts = [(texts[i][a : a + k].strip(), given[i]) for i in rows for k in CUTS for a in (0, len(texts[i]) // 2) if k < len(texts[i])]
+        cuts = [(t, j) for t, j in cuts if len(t) > 3]
+        if cuts:
+            calibrate(models, [t for t, _ in cuts], np.array([j for _, j in cuts]))
+            reject_foreign(models, [texts[i] for i in rows], given[rows])
     return models
 
 
@@ -247,7 +275,10 @@ def identify(df: DataFrame, models: Models, key: str = "crawl_id", text: str = "
 
     A record has the language of most of its segments (lines), on a tie that of
     the more characters; its confidence is the mean of those segments'.  A
-    segment deviates if another language is certain enough.  Null and blank
+    segment deviates if another language is certain enough.  A record is in none
+    of the languages (``und``, with the confidence of that language) if more of
+    its characters are in segments that no model explains than in others; such
+    segments of other records are not given, nor are segments of such a record.  Null and blank
     texts, and texts without letters, give no row; repeated rows give repeated
     rows.  The models, bounded by the sample, are broadcast; no shuffle.
     """
@@ -271,7 +302,8 @@ def identify(df: DataFrame, models: Models, key: str = "crawl_id", text: str = "
                         numbers.append(no)
                         lines.append(s)
         out: tuple[list, ...] = ([], [], [], [])
-        best, sure = known.judge(lines) if lines else (np.zeros(0, int), np.zeros(0))
+        best, sure, entropy = known.judge(lines) if lines else (np.zeros(0, int), np.zeros(0), np.zeros(0))
+        foreign = entropy > known.foreign
         rows_a, size = np.array(rows, int), np.array([len(s) for s in lines], int)
         ends = np.flatnonzero(np.diff(np.r_[rows_a, -1])) + 1 if lines else []
         a = 0
@@ -283,9 +315,10 @@ def identify(df: DataFrame, models: Models, key: str = "crawl_id", text: str = "
             with_top = best[a:b] == top
             out[0].append(rows[a])
             out[1].append(0)
-            out[2].append(LANGUAGES[top])
+            unknown = (size[a:b] * foreign[a:b]).sum() > size[a:b].sum() / 2
+            out[2].append(UNKNOWN if unknown else LANGUAGES[top])
             out[3].append(float(sure[a:b][with_top].mean()))
-            for k in np.flatnonzero(~with_top & (sure[a:b] >= REJECT)):
+            for k in np.flatnonzero(~with_top & (sure[a:b] >= REJECT) & ~foreign[a:b] & (not unknown)):
                 out[0].append(rows[a])
                 out[1].append(numbers[a + k])
                 out[2].append(LANGUAGES[best[a + k]])
@@ -319,7 +352,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(labelled, crawl_models(spark, sf_dir), "record")
     label = F.col("record.label")
     wanted = (F.col("segment_no") > 0) | label.isNull() | (label != F.col("lang"))
-    return found.where(wanted).select("record.crawl_id", "segment_no", "lang").distinct()
+    return found.where(wanted & (F.col("lang") != UNKNOWN)).select("record.crawl_id", "segment_no", "lang").distinct()
 
 
 @query("p6_languages")

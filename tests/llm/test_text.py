@@ -191,6 +191,22 @@ def test_languages(spark, models):
     assert all(0 <= r["confidence"] <= 1 for r in language.identify(df, models).collect())
 
 
+def test_foreign_texts_are_rejected(spark, models):
+    pl, sv = "zażółć gęślą jaźń wszystkich krzyży przyszłość źdźbło", "den lilla båten låg vid kajen hela sommaren"
+    df = spark.createDataFrame([(1, pl), (2, f"{sv}\n{pl}\n{sv}"), (3, f"{pl}\n{sv}\n{pl}")], "crawl_id long, content string")
+    got = sorted((r["crawl_id"], r["segment_no"], r["lang"]) for r in language.identify(df, models).collect())
+    assert got == [(1, 0, "und"), (2, 0, "sv"), (3, 0, "und")]
+
+
+def test_confidence_is_fitted_to_labels_given(models):
+    texts = [f"{w} båten" for w in ("den lilla", "en gång", "hela sommaren")]
+    again = language.Models(**{**vars(models)})
+    language.calibrate(again, texts * 30, np.array([0] * 90))
+    right = again.judge(texts)[1]
+    language.calibrate(again, texts * 30, np.array([3] * 90))
+    assert (right > 0.9).all() and (again.judge(texts)[1] < 0.5).all()
+
+
 def test_models_are_distributions(models):
     words = [chr(int(c)) for c in range(97, 123)] + [" ", "å", "ä", "ö", "é", "è", "ü", "ø", "æ", "'"]
     for context in ("", "e", "de", "en b"):
