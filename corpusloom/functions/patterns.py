@@ -8,7 +8,7 @@ W = r"\p{L}\p{N}_"
 TOKEN = f"[^{WS}]+"
 CAPITAL = "A-ZÖÄÅØÆ"
 
-#: The Unicode blocks in which text counts as readable, as first and last code point.
+#: The Unicode blocks in which text counts as readable, by the ranges of the Unicode standard's list of blocks.
 READABLE_BLOCKS = """
 0000-007F 0080-00FF 0100-017F 0180-024F 02B0-02FF 1E00-1EFF 2000-206F 2070-209F 20A0-20CF 20D0-20FF 2100-214F
 2150-218F 2190-21FF 2200-22FF 2300-23FF 2400-243F 2440-245F 2460-24FF 2500-257F 2580-259F 25A0-25FF 2600-26FF
@@ -21,21 +21,27 @@ UNREADABLE = "[^" + "".join("\\x{%s}-\\x{%s}" % tuple(b.split("-")) for b in REA
 #: A clock time or a figure like one, as in television tables.
 CLOCK = r"\p{Nd}?\p{Nd}[.:]\p{Nd}\p{Nd}"
 
-_DATE6 = "(?:19|20)?[0-9]{2}(?:01|02|03|04|05|06|07|08|09|10|11|12)[0-9]{2}"
-#: What is made anonymous, in the order in which alternatives are tried, and what replaces it.
-ANONYMOUS = (
-    (f"{_DATE6} - [0-9]{{4}}", "XXXXXX - XXXX"),
-    (f"{_DATE6}-[0-9]{{4}}", "XXXXXX-XXXX"),
-    (f"{_DATE6}[0-9]{{4}}", "XXXXXXXXXX"),
-    (f"@ [{W}]+", "NICK"),
-    (f"@[{W}]+", "NICK"),
-    (rf"[{W}.]+@[{W}]+(?:\.[{W}]+)+", "MEJLADRESS"),
-    (rf"[{W}]+(?: \. [{W}]+)* @ [{W}]+(?: \. [{W}]+)+", "MEJLADRESS"),
-)
-#: The same one after the other, in the order of the sequential variant.
-ANONYMOUS_SEQUENCE = tuple(ANONYMOUS[i] for i in (2, 0, 1, 5, 6, 4, 3))
+#: Six digits of a birth date, with the century or without, whose middle ones are a month.
+_BORN = "(?:19|20)?[0-9][0-9](?:0[1-9]|1[0-2])[0-9][0-9]"
+#: What stands for an identity number, by the sign between date and number, an e-mail address and a nick.
+_MASKS = {" - ": "XXXXXX - XXXX", "-": "XXXXXX-XXXX", "": "XXXXXXXXXX"}
+MAIL, NICK = "MEJLADRESS", "NICK"
 
 
+def _numbers(*between: str) -> tuple[tuple[str, str], ...]:
+    return tuple((f"{_BORN}{sign}[0-9]{{4}}", _MASKS[sign]) for sign in between)
+
+
+def _nicks(*after: str) -> tuple[tuple[str, str], ...]:
+    return tuple((f"@{gap}[{W}]+", NICK) for gap in after)
+
+
+#: An address in one piece, whose local part is a run of word characters and dots, and one with all its signs apart.
+_MAILS = ((rf"[{W}.]+@[{W}]+(?:\.[{W}]+)+", MAIL), (rf"[{W}]+(?: \. [{W}]+)* @ [{W}]+(?: \. [{W}]+)+", MAIL))
+#: What is made anonymous, and what replaces it; the order of the alternatives, and that of the sequential variant, are fixed values.
+ANONYMOUS = (*_numbers(" - ", "-", ""), *_nicks(" ", ""), *_MAILS)
+ANONYMOUS_SEQUENCE = (*_numbers("", " - ", "-"), *_MAILS, *_nicks("", " "))
+
 
 def quick(pattern: str) -> str:
     """The same matches without the cost of trying every place in a run of word characters (Java syntax).
@@ -49,17 +55,21 @@ def quick(pattern: str) -> str:
     return pattern
 
 
-#: Punctuation brought to plain forms, rule after rule.
+_NBSP = r"\x{A0}"
+#: Punctuation brought to plain forms, rule after rule, as the public Moses normalizer does for Swedish.
 PUNCTUATION = (
-    (r"\r", ""),
-    (r"[„“”«»]", '"'),
-    (r"[‘’‚´`]", "'"),
-    (r"''", '"'),
-    (r"–", "-"),
-    (r"—", " - "),
-    (r"…", "..."),
-    (r"\x{A0}", " "),
-    (r" +([:;,.!?%)])", r"$1"),
-    (r"([(]) +", r"$1"),
-    (r" {2,}", " "),
-)
+    # space around brackets and before marks
+    (r"\r", ""), (r"\(", " ("), (r"\)", ") "), (r" +", " "), (r"\) ([.!:?;,])", ")$1"), (r"\( ", "("), (r" \)", ")"),
+    (r"([0-9]) %", "$1%"), (r" :", ":"), (r" ;", ";"),
+    # quotes, dashes and dots
+    (r"`", "'"), (r"''", ' " '), (r"[„“”]", '"'), (r"–", "-"), (r"—", " - "), (r" +", " "), (r"´", "'"), (r"[‘‚’]", "'"), (r"''", '"'), (r"…", "..."),
+    # quotes of French and spaces that don't break
+    (f"{_NBSP}?«{_NBSP}?", '"'), (f"{_NBSP}?»{_NBSP}?", '"'), (f"{_NBSP}([%:?!;])", "$1"), (f"nº{_NBSP}", "nº "), (f"{_NBSP}(ºC|cm)", " $1"), (f",{_NBSP}", ", "),
+    (r" +", " "),
+    # figures
+    (f"([0-9]){_NBSP}([0-9])", "$1.$2"),
+    # ends
+    (f"^[{WS}]+", ""), (f"[{WS}]+$", ""),
+)
+#: Abbreviations after whose full stop a Swedish sentence goes on, beside single capitals.
+ABBREVIATIONS = "AB G VG dvs etc from iaf jfr kl kr mao mfl mm osv pga tex tom vs".split()

@@ -5,13 +5,15 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Mapping
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, StringType
 
-from corpusloom.functions.patterns import ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, TOKEN, WS, W, quick
+from corpusloom.functions.patterns import ABBREVIATIONS, ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, TOKEN, WS, W, quick
 
 
 def token_count(text: Column) -> Column:
@@ -65,15 +67,19 @@ def strip_incomplete(text: Column) -> Column:
     return F.substring(text, head + 1, F.greatest(end - head, F.lit(0)))
 
 
-def replace_words(text: Column, words: Mapping[str, str]) -> Column:
-    """Replace whole words of a bounded dictionary, longest first.
+def replace_words(text: Column, words: Mapping[str, str], ignore_case: bool = False) -> Column:
+    """Replace whole words of a bounded dictionary, longest first; with ``ignore_case`` in any case.
 
     A match consumes the characters around it, so of two words that share one
-    separator only the first is replaced.
+    separator only the first is replaced.  Of keys that differ in case only the
+    last counts where case doesn't.
     """
     if not words:
         return text
+    if ignore_case:
+        words = {k.lower(): v for k, v in words.items()}
     table = F.create_map(*(F.lit(x) for pair in sorted(words.items()) for x in pair))
+    meant = lambda w: table[F.lower(w) if ignore_case else w]
 
     def replaced(match: Column) -> Column:
         n, rest = F.length(match), F.substring(match, F.lit(2), F.length(match))
@@ -81,10 +87,11 @@ def replace_words(text: Column, words: Mapping[str, str]) -> Column:
         both, before, after = F.substring(match, F.lit(2), n - 2), rest, F.substring(match, F.lit(1), n - 1)
         first, last = F.substring(match, 1, 1), F.substring(match, -1, 1)
         return F.coalesce(
-            F.concat(first, table[both], last), F.concat(first, table[before]), F.concat(table[after], last), table[match]
+            F.concat(first, meant(both), last), F.concat(first, meant(before)), F.concat(meant(after), last), meant(match)
         )
 
-    return replace_matches(text, f"(?:^|[^{W}])(?:{_alternatives(list(words))})(?:[^{W}]|$)", replaced)
+    case = "(?iu)" if ignore_case else ""
+    return replace_matches(text, f"{case}(?:^|[^{W}])(?:{_alternatives(list(words))})(?:[^{W}]|$)", replaced)
 
 
 def _alternatives(keys: list[str], depth: int = 0) -> str:
@@ -112,10 +119,27 @@ def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, " {2,}", " ")
 
 
-@pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode normal form KC; ASCII passes through."""
-    return text.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
+def _in_arrow(function):
+    """Column functions of a ``str -> str`` function, over texts and over arrays of texts, in Arrow batches; nulls stay null."""
+
+    def each(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else t if t.isascii() else function(t) for t in texts.to_pylist()], pa.string())
+
+    @arrow_udf(StringType())
+    def over_texts(texts: pa.Array) -> pa.Array:
+        return each(texts)
+
+    @arrow_udf(ArrayType(StringType()))
+    def over_arrays(arrays: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy()
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, each(arrays.flatten()), mask=arrays.is_null())
+
+    return over_texts, over_arrays
+
+
+#: Unicode normal form KC; ASCII passes through.
+nfkc, nfkc_array = _in_arrow(lambda text: unicodedata.normalize("NFKC", text))
 
 
 #: What NFKD leaves beyond ASCII.
@@ -131,33 +155,62 @@ _ASCII = str.maketrans(
 )
 
 
-@pandas_udf(StringType())
-def ascii_fold(text: pd.Series) -> pd.Series:
-    """Latin letters without marks and punctuation in ASCII, but the letters of Nordic languages as they are.
+_SPARED = frozenset("åäöÅÄÖæøÆØ")
+
+
+def _fold(text: str) -> str:
+    out = []
+    for c in unicodedata.normalize("NFC", text):
+        if c in _SPARED or c.isascii():
+            out.append(c)
+        else:
+            parts = unicodedata.normalize("NFKD", c.translate(_ASCII)).translate(_ASCII)
+            out += (x for x in parts if not unicodedata.combining(x) and (x.isascii() or x.isalnum()))
+    return "".join(out)
 
-    Letters of other scripts only lose their marks; characters without width go.
-    """
-    spare = frozenset("åäöÅÄÖæøÆØ")
 
-    def fold(s):
-        if s is None or s.isascii():
-            return s
-        out = []
-        for c in unicodedata.normalize("NFC", s):
-            if c in spare or c.isascii():
-                out.append(c)
-            else:
-                parts = unicodedata.normalize("NFKD", c.translate(_ASCII)).translate(_ASCII)
-                out += (x for x in parts if not unicodedata.combining(x) and (x.isascii() or x.isalnum()))
-        return "".join(out)
+#: Latin letters without marks and punctuation in ASCII, but the letters of Nordic languages as they are.
+#: Letters of other scripts only lose their marks; characters without width go.
+ascii_fold, ascii_fold_array = _in_arrow(_fold)
 
-    return text.map(fold)
+
+#: What the public tokenizers' clean-up for translation removes, and what it takes for a space.
+_NMT_GONE = r"[\x{1}-\x{8}\x{B}\x{E}-\x{1F}\x{7F}\x{8F}\x{9F}]"
+_NMT_SPACE = r"[\t\n\f\r\x{1680}\x{200B}-\x{200F}\x{2028}\x{2029}\x{2581}\x{FEFF}\x{FFFD}]"
+
+
+def clean_up(text: Column) -> Column:
+    """Control characters gone, other white space and invisible characters as spaces."""
+    return F.regexp_replace(F.regexp_replace(text, _NMT_GONE, ""), _NMT_SPACE, " ")
+
+
+def tokenizer_text(text: Column) -> Column:
+    """What a tokenizer is given: cleaned up, in normal form KC, runs of spaces as one."""
+    return collapse_spaces(nfkc(clean_up(text)))
+
+
+_OPEN, _CLOSE = r"['\"(\[¿¡\p{Pi}]", r"['\")\]\p{Pf}]"
+_SOUND = rf"(?={_OPEN}*\p{{Lu}})"
+#: Ends of sentences but for a lone full stop, with the white space after them, before what can begin a sentence.
+_ENDS = (rf"([?!]|\.\.) +{_SOUND}", rf"([?!.] *{_CLOSE}+) +(?={_OPEN}* *\p{{Lu}})", rf"([?!.]) +(?={_OPEN}+ *\p{{Lu}})")
+_HELD = "|".join([r"\p{Lu}", *ABBREVIATIONS])
+#: A word that ends in a full stop, but for an abbreviation or an acronym, before what can begin a sentence.
+_STOP = (
+    rf"(?<![^ \n])(?![^ \n]*?(?<![{W}.-])(?:{_HELD})\.+ )(?![^ \n]*\.[\p{{Lu}}-]+\.+ )([^ \n]*\.) +(?={_OPEN}* *[\p{{Lu}}0-9])"
+)
 
 
 def sentences(text: Column) -> Column:
-    """Sentences: cut after an end mark (and closing quotes) before white space and a capital, digit or opening quote."""
-    marked = F.regexp_replace(text, f"([.!?][\"”’')]*)[{WS}]+([{CAPITAL}\\p{{Lu}}0-9\"”“(–-])", "$1\u001e$2")
-    return F.filter(F.split(marked, "\u001e"), lambda s: s != "")
+    """Sentences of Swedish text, without white space at their ends; none of text without any.
+
+    A break is white space after a question or exclamation mark, several full
+    stops or closing quotes, before a capital; or after a word with a full stop
+    before a capital or digit, if the word is no abbreviation, initial or acronym.
+    """
+    marked = F.regexp_replace(F.regexp_replace(text, f"[{WS}&&[^\n]]+", " "), r" ?\n ?", "\n")
+    for end in (*_ENDS, _STOP):
+        marked = F.regexp_replace(marked, end, "$1\n")
+    return F.filter(F.transform(F.split(marked, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def strip_incomplete_sentences(parts: Column) -> Column:

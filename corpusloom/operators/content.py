@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import meet
+
 
 def explode_content(packages: DataFrame, key: str, content: str = "content", keep: list[str] | None = None) -> DataFrame:
     """``(key, ..., pos, text)``: one row per element, null elements included; an empty or null content has none."""
@@ -17,18 +19,23 @@ def break_fold(elements: Column, remove_breaks: bool = False) -> Column:
     A dropped element leaves a break if the last element so far is a text; a
     null element is always a break.  With ``remove_breaks`` there are none.
     """
-    text = lambda x: F.array(x["text"])
-    empty = F.array().cast("array<string>")
+    kept = lambda x: x["text"].isNotNull() & x["keep"]
     if remove_breaks:
-        return F.transform(F.filter(elements, lambda x: x["text"].isNotNull() & x["keep"]), lambda x: x["text"])
-    gap = F.array(F.lit(None).cast("string"))
+        return F.transform(F.filter(elements, kept), lambda x: x["text"])
+
+    def fold(e: Column) -> Column:
+        # the last element so far is a text where the one just before was kept
+        before = F.slice(F.concat(F.array(F.lit(False)), F.transform(e, kept)), F.lit(1), F.size(e))
+        marked = F.zip_with(e, before, lambda x, b: F.struct(x["text"].alias("text"), kept(x).alias("kept"), b.alias("before")))
+        shown = F.filter(marked, lambda x: x["kept"] | x["before"] | x["text"].isNull())
+        return F.transform(shown, lambda x: F.when(x["kept"], x["text"]))
+
+    return _once(elements, fold)
 
-    def step(out: Column, x: Column) -> Column:
-        after_text = F.when(F.size(out) > 0, F.element_at(out, -1).isNotNull()).otherwise(False)
-        dropped = F.when(after_text, F.concat(out, gap)).otherwise(out)
-        return F.when(x["text"].isNull(), F.concat(out, gap)).when(x["keep"], F.concat(out, text(x))).otherwise(dropped)
 
-    return F.aggregate(elements, empty, step)
+def _once(array: Column, function) -> Column:
+    """``function(array)`` with the array evaluated once, however often the function names it; null for null."""
+    return F.when(array.isNotNull(), F.transform(F.array(array), function)[0])
 
 
 def filter_content(packages: DataFrame, verdict, content: str = "content", remove_breaks: bool = False) -> DataFrame:
@@ -41,16 +48,15 @@ def fuse(content: Column, ignore_breaks: bool = False) -> Column:
     """Consecutive texts joined by a space, breaks apart; with ``ignore_breaks`` one text, even if empty."""
     if ignore_breaks:
         return F.array(F.array_join(F.filter(content, lambda x: x.isNotNull()), " "))
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("open"))
 
-    def step(s: Column, x: Column) -> Column:
-        closed = F.when(s["open"].isNotNull(), F.concat(s["out"], F.array(s["open"]))).otherwise(s["out"])
-        longer = F.when(s["open"].isNotNull(), F.concat(s["open"], F.lit(" "), x)).otherwise(x)
-        return F.when(x.isNull(), F.struct(closed.alias("out"), F.lit(None).cast("string").alias("open"))).otherwise(
-            F.struct(s["out"].alias("out"), longer.alias("open"))
-        )
+    def islands(c: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(c) - 1)
+        breaks = F.filter(every, lambda i: F.get(c, i).isNull())
+        spans = F.zip_with(F.concat(F.array(F.lit(-1)), breaks), F.concat(breaks, F.array(F.size(c))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        texts = F.filter(spans, lambda x: x["b"] - x["a"] > 1)
+        return F.transform(texts, lambda x: F.array_join(F.slice(c, x["a"] + 2, x["b"] - x["a"] - 1), " "))
 
-    return F.aggregate(content, start, step, lambda s: F.when(s["open"].isNotNull(), F.concat(s["out"], F.array(s["open"]))).otherwise(s["out"]))
+    return F.when(F.size(content) > 0, _once(content, islands)).otherwise(content)
 
 
 def fuse_paragraphs(packages: DataFrame, content: str = "content", ignore_breaks: bool = False) -> DataFrame:
@@ -74,7 +80,7 @@ def regroup(packages: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     """Packages with the kept ``(key, pos, text)`` as content, in order; a package that keeps nothing has an empty content."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"])
     content = kept.groupBy(key).agg(ordered.alias("content"))
-    return packages.drop("content").join(content, key, "left").withColumn("content", F.coalesce("content", F.array().cast("array<string>")))
+    return meet(packages.drop("content"), content, key, "left").withColumn("content", F.coalesce("content", F.array().cast("array<string>")))
 
 
 def document_key(package_id: Column, pos: Column) -> Column:

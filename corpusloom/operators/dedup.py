@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.session import cut, ship
+from corpusloom.session import cut, meet, ship
 
 SEEDS, BANDS, NGRAM = 100, 10, 5
 #: Shingles of a block of texts, which bounds the memory of a task, and partitions of the pairs of blocks.
@@ -292,17 +292,17 @@ def mains(edges: DataFrame) -> DataFrame:
     both = cut(symmetric(edges).select("src", "dst"))
     state = cut(both.select(F.col("src").alias("node")).distinct().withColumn("is_main", F.lit(None).cast("boolean")))
     while True:
-        smaller = both.where("dst < src").join(state.withColumnRenamed("node", "dst"), "dst")
+        smaller = meet(both.where("dst < src"), state.withColumnRenamed("node", "dst"), "dst")
         seen = smaller.groupBy(F.col("src").alias("node")).agg(
             F.max(F.coalesce("is_main", F.lit(False)).cast("int")).alias("near_main"), F.max(F.col("is_main").isNull().cast("int")).alias("open")
         )
         decided = F.when(F.col("is_main").isNotNull(), F.col("is_main")).when(F.col("near_main") == 1, False).when(F.coalesce("open", F.lit(0)) == 0, True)
-        state = cut(state.join(seen, "node", "left").select("node", decided.alias("is_main")))
+        state = cut(meet(state, seen, "node", "left").select("node", decided.alias("is_main")))
         if state.where("is_main IS NULL").isEmpty():
             break
     chosen = state.where("is_main").select(F.col("node").alias("dst"))
-    smallest = both.join(chosen, "dst").where("dst < src").groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("main"))
-    return state.join(smallest, "node", "left").select("node", F.when(F.col("is_main"), F.col("node")).otherwise(F.col("main")).alias("main"))
+    smallest = meet(both, chosen, "dst").where("dst < src").groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("main"))
+    return meet(state, smallest, "node", "left").select("node", F.when(F.col("is_main"), F.col("node")).otherwise(F.col("main")).alias("main"))
 
 
 def choose(docs: DataFrame, edges: DataFrame, key: str, keep: str = "first", text: str = "text", score: str | None = None) -> DataFrame:
@@ -311,10 +311,10 @@ def choose(docs: DataFrame, edges: DataFrame, key: str, keep: str = "first", tex
     Documents without an edge survive.  Ties go to the main, then to the smaller
     key; a null score ranks last.
     """
-    stars = mains(edges).join(docs.select(F.col(key).alias("node"), F.length(text).alias("_size"), *([F.col(score).alias("_score")] if score else [])), "node")
+    stars = meet(mains(edges), docs.select(F.col(key).alias("node"), F.length(text).alias("_size"), *([F.col(score).alias("_score")] if score else [])), "node")
     rank = {"first": F.lit(0.0), "longest": -F.col("_size").cast("double"), "score": F.coalesce("_score", F.lit(float("inf"))) if score else F.lit(0.0)}[keep]
     best = stars.groupBy("main").agg(F.min(F.struct(rank.alias("rank"), (F.col("node") != F.col("main")).alias("other"), "node"))["node"].alias(key))
-    alone = docs.select(key).join(stars.select(F.col("node").alias(key)), key, "left_anti")
+    alone = meet(docs.select(key), stars.select(F.col("node").alias(key)), key, "left_anti")
     return alone.unionByName(best.select(key))
 
 
@@ -327,10 +327,13 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", keep: str = "
     texts = cut(text_classes(docs, key, text))
     edges = cut(similar_pairs(texts, "rep", "text", **options))
     found = mains(edges)
-    stars = found.join(texts.select(F.col("rep").alias("node"), F.length("text").alias("size")), "node")
+    digest = F.unhex(F.sha2("text", 256))
+    sized = texts.select("rep", F.length("text").alias("size"), digest.alias("_digest"))
+    stars = meet(found, sized.select(F.col("rep").alias("node"), "size"), "node")
     rank = F.lit(0) if keep == "first" else -F.col("size")
     best = stars.groupBy("main").agg(F.min(F.struct(rank.alias("rank"), (F.col("node") != F.col("main")).alias("other"), "node"))["node"].alias("class_id"))
     links = symmetric(edges).groupBy(F.col("src").alias("rep")).agg(F.count("*").alias("links"))
-    reps = texts.join(found.select(F.col("node").alias("rep"), "main"), "rep", "left").join(best, "main", "left").join(links, "rep", "left")
-    reps = reps.select(F.col("text").alias("_text"), F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return docs.select(F.col(key), F.col(text).alias("_text")).join(reps, "_text").select(key, "class_id", "links")
+    reps = meet(meet(meet(sized, found.select(F.col("node").alias("rep"), "main"), "rep", "left"), best, "main", "left"), links, "rep", "left")
+    reps = reps.select("_digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    # texts meet by their digests and don't travel
+    return meet(docs.select(F.col(key), F.unhex(F.sha2(text, 256)).alias("_digest")), reps, "_digest").select(key, "class_id", "links")

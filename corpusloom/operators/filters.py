@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.patterns import CLOCK, UNREADABLE
 from corpusloom.functions.text import one_line, token_count
+from corpusloom.session import meet
 
 
 @dataclass(frozen=True)
@@ -67,13 +68,19 @@ def first_failing(text: Column, specs: list[FilterSpec]) -> Column:
 def first_of_text(docs: DataFrame, text: str, order: list[str]) -> DataFrame:
     """The first row of every distinct text in the given order, as ``_first``; null texts are all first.
 
-    Rows of one text meet by its hash and the text itself; combined before the
-    shuffle by a minimum over the order, so that no window sorts a hot text.
+    Texts meet by their SHA-256 and don't travel.  They combine before the
+    shuffle by a minimum over the order, for a single column by hash, so that no
+    window sorts a hot text; a row then finds its text by digest and order,
+    which spreads a hot text.  A null in the only column comes last.
     """
-    key = F.struct(*order)
-    firsts = docs.where(F.col(text).isNotNull()).groupBy(text).agg(F.min(key).alias("_at"))
-    marked = docs.withColumn("_at", key).join(firsts.select("_at").withColumn("_first", F.lit(True)), "_at", "left")
-    return marked.withColumn("_first", F.coalesce("_first", F.col(text).isNull())).drop("_at")
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    digest = F.unhex(F.sha2(text, 256))
+    firsts = docs.where(F.col(text).isNotNull()).groupBy(digest.alias("_digest_")).agg(F.min(at).alias("_at_"))
+    firsts = firsts.withColumn("_first", F.lit(True))
+    marked = docs.withColumns({"_digest": digest, "_at": at})
+    same = (F.col("_digest") == F.col("_digest_")) & F.col("_at").eqNullSafe(F.col("_at_"))
+    marked = meet(marked, firsts, same, "left")
+    return marked.withColumn("_first", F.coalesce("_first", F.col(text).isNull())).drop("_digest", "_at", "_digest_", "_at_")
 
 
 def exact_duplicates(docs: DataFrame, text: str, order: list[str], least_tokens: int = 0) -> DataFrame:

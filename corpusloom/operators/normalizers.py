@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 
 ORDER = ("unicode", "unidecode", "moses", "common_errors", "anonymize", "strip_string", "sentence_split", "strip_sentence")
 NATIVE = {"moses": T.plain_punctuation, "anonymize": T.anonymize, "strip_string": T.strip_incomplete}
-PYTHON = {"unicode": T.nfkc, "unidecode": T.ascii_fold}
+ARRAYS = {"unicode": T.nfkc_array, "unidecode": T.ascii_fold_array}
 
 
 def apply_normalizers(packages: DataFrame, names: list[str], key: str, content: str = "content", errors: Mapping[str, str] | None = None) -> DataFrame:
@@ -19,8 +19,8 @@ def apply_normalizers(packages: DataFrame, names: list[str], key: str, content:
 
     With ``sentence_split`` the elements become arrays of sentences;
     ``strip_sentence`` needs it.  Native normalizers transform the array in its
-    row.  The two that need Python take each array as one batch column, without
-    exploding it.
+    row.  The two that need Python take the arrays in Arrow batches, without
+    exploding them.
     """
     wanted = [n for n in ORDER if n in names]
     if unknown := set(names) - set(ORDER):
@@ -28,8 +28,8 @@ def apply_normalizers(packages: DataFrame, names: list[str], key: str, content:
     if "strip_sentence" in wanted and "sentence_split" not in wanted:
         raise ValueError("strip_sentence needs sentence_split")
     for name in wanted:
-        if name in PYTHON:
-            packages = _in_python(packages, PYTHON[name], key, content)
+        if name in ARRAYS:
+            packages = packages.withColumn(content, ARRAYS[name](F.col(content)))
         elif name == "common_errors":
             packages = packages.withColumn(content, F.transform(content, lambda t: T.replace_words(t, errors or {})))
         elif name == "sentence_split":
@@ -39,12 +39,3 @@ def apply_normalizers(packages: DataFrame, names: list[str], key: str, content:
         else:
             packages = packages.withColumn(content, F.transform(content, NATIVE[name]))
     return packages
-
-
-def _in_python(packages: DataFrame, function, key: str, content: str) -> DataFrame:
-    # elements joined by a character that no normalizer touches travel as one string; nulls as a lone mark
-    mark, null = "\u001d", "\u001a"
-    joined = F.array_join(content, mark, null)
-    parts: Column = F.transform(F.split(F.col("_joined"), mark, -1), lambda t: F.when(t != null, t))
-    rows = packages.withColumn("_joined", function(joined))
-    return rows.withColumn(content, F.when(F.size(content) > 0, parts).otherwise(F.col(content))).drop("_joined")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.patterns import WS
+from corpusloom.session import meet
 
 
 def perplexity(log10: Column, length: Column) -> Column:
@@ -38,7 +39,7 @@ def unigram_scores(docs: DataFrame, key: str, text: str = "text", k: float = 1.0
     tokens = _tokens(docs, key, text).groupBy(key, "w").agg(F.count("*").alias("n"))
     counts = tokens.groupBy("w").agg(F.sum("n").alias("c"))
     total = counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
-    scored = tokens.join(counts, "w").join(F.broadcast(total))
+    scored = meet(tokens, counts, "w").join(F.broadcast(total))
     log10 = F.sum(F.col("n") * F.log10((F.col("c") + F.lit(k)) / (F.col("total") + F.lit(k) * F.col("types"))))
     found = scored.groupBy(key).agg(F.sum("n").alias("words"), log10.alias("log10"))
     return found.select(key, "words", F.round(perplexity(F.col("log10"), F.col("words")), 4).alias("perplexity"))
@@ -53,7 +54,8 @@ def bigram_scores(docs: DataFrame, key: str, text: str = "text", k: float = 0.1)
     both = one.groupBy("a", "b").agg(F.sum("n").alias("ab"))
     first = both.groupBy("a").agg(F.sum("ab").alias("a_total"))
     types = both.agg(F.count_distinct("b").alias("types"))
-    scored = one.join(both, ["a", "b"]).join(first, "a").join(F.broadcast(types))
+    # the totals meet the distinct pairs, of which a frequent word has fewer than occurrences
+    scored = meet(one, meet(both, first, "a"), ["a", "b"]).join(F.broadcast(types))
     log10 = F.sum(F.col("n") * F.log10((F.col("ab") + F.lit(k)) / (F.col("a_total") + F.lit(k) * F.col("types"))))
     found = scored.groupBy(key).agg(F.sum("n").alias("words"), log10.alias("log10"))
     return found.select(key, "words", F.round(perplexity(F.col("log10"), F.col("words")), 4).alias("perplexity"))

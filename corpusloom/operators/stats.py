@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import token_count
 
+#: The upper edges of the bins, powers of two.
 BINS = [2**i for i in range(1, 13)]
 
 
@@ -52,17 +53,26 @@ def power_bins(lengths: DataFrame, weighted: bool = False) -> DataFrame:
 
 
 def as_json(docs: DataFrame) -> DataFrame:
-    """One row, ``stats``: the tables as JSON maps by year."""
-    docs = docs.withColumn("year", F.coalesce("year", F.lit(-1)))
+    """``(year, stats)``: the tables of each year as JSON maps in order of their keys; a null year is -1, a null title empty."""
+    docs = docs.withColumn("year", F.coalesce("year", F.lit(-1))).withColumn("title", F.coalesce("title", F.lit("")))
     lengths, titles = length_histogram(docs), title_histogram(docs)
-    a = lengths.groupBy("year").agg(
-        F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("length")).alias("words"), F.map_from_entries(F.collect_list(F.struct("length", "n"))).alias("lengths")
-    )
-    b = titles.groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("title", F.lit("")).alias("title"), "n"))).alias("titles"))
-    years = a.join(b, "year")
-    entries = lambda c: F.map_from_entries(F.collect_list(F.struct("year", c)))
-    return years.agg(
-        F.to_json(
-            F.struct(entries("docs").alias("#docs"), entries("words").alias("#words"), entries("lengths").alias("doc lengths"), entries("titles").alias("titles"))
-        ).alias("stats")
+    entries = lambda key: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n"))))
+    a = lengths.groupBy("year").agg(F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("length")).alias("words"), entries("length").alias("lengths"))
+    years = a.join(titles.groupBy("year").agg(entries("title").alias("titles")), "year")
+    # fixed values: the names of the tables
+    tables = (("docs", "#docs"), ("words", "#words"), ("lengths", "doc lengths"), ("titles", "titles"))
+    return years.select("year", F.to_json(F.struct(*(F.col(c).alias(name) for c, name in tables))).alias("stats"))
+
+
+def year_table(docs: DataFrame) -> DataFrame:
+    """``(year, docs, words, avg_doc_len, mean_doc_len)`` of every year, and of ``all`` years together."""
+    lengths = docs.groupBy("words").agg(F.count("*").alias("n"))
+    total = F.sum(F.col("n") * F.col("words"))
+    whole = lengths.agg(
+        F.lit("all").alias("year"),
+        F.sum("n").alias("docs"),
+        total.alias("words"),
+        F.round(F.avg("words"), 6).alias("avg_doc_len"),
+        F.round(total / F.sum("n"), 6).alias("mean_doc_len"),
     )
+    return by_year(docs).withColumn("year", F.col("year").cast("string")).unionByName(whole)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.functions.patterns import ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, CLOCK, PUNCTUATION, TOKEN, UNREADABLE, WS, W
+from corpusloom.functions.patterns import ABBREVIATIONS, ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, CLOCK, PUNCTUATION, TOKEN, UNREADABLE, WS, W
 from corpusloom.operators import content as C
 from corpusloom.operators import dedup as D
 from corpusloom.operators import filters as R
@@ -172,7 +172,14 @@ def filter_lines(spark, d):
     return lines.where(R.readable().keep(F.col("line")))
 
 
-@query("filter_lines_swedish")
+@query(
+    "filter_lines_swedish",
+    rf"""WITH lines AS (SELECT crawl_id, i, string_split(content, chr(10))[i] AS line FROM (SELECT crawl_id, content, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM crawl)),
+    words AS (SELECT crawl_id, i, line, unnest(regexp_split_to_array(lower(line), '[^\p{{L}}]+')) AS word FROM lines WHERE NOT regexp_matches(line, {q(UNREADABLE)})),
+    counts AS (SELECT crawl_id, i, line, lang, count(*) AS n FROM words JOIN (SELECT DISTINCT lang, word FROM common_words) USING (word) GROUP BY crawl_id, i, line, lang),
+    sums AS (SELECT crawl_id, i, line, sum(n) AS total, coalesce(max(n) FILTER (lang = 'sv'), 0) AS swedish, coalesce(max(n) FILTER (lang <> 'sv'), 0) AS other FROM counts GROUP BY crawl_id, i, line)
+    SELECT crawl_id, line FROM sums WHERE swedish - other >= 0.95 * total""",
+)
 def filter_lines_swedish(spark, d):
     """Readable lines in Swedish, ahead of any other language by 0.95."""
     return filter_lines(spark, d).where(R.language(R.word_provider(common(spark, d)), margin=0.95).keep(F.col("line")))
@@ -292,31 +299,83 @@ def strip_incomplete(spark, d):
     return boxes(spark, d).where("content IS NOT NULL").select("box_id", T.strip_incomplete(F.col("content")).alias("text"))
 
 
-_SPLIT = f"([.!?][\"”’')]*)[{WS}]+([{CAPITAL}\\p{{Lu}}0-9\"”“(–-])"
+_OPEN, _CLOSE = r"""['"(\[¿¡\p{Pi}]""", r"""['")\]\p{Pf}]"""
+_SPACE = WS.replace(r"\t-\r", r"\t\x{B}-\r")
+_HELD = "|".join([r"\p{Lu}", *ABBREVIATIONS])
 
 
-@query(
-    "sentences",
-    f"""SELECT doc_id, count(*) AS n, min(s) AS least, max(s) AS most FROM (SELECT doc_id, unnest(list_filter(string_split(
-        regexp_replace(text, {q(_SPLIT)}, '\\1' || chr(30) || '\\2', 'g'), chr(30)), lambda s: s <> '')) AS s FROM documents) GROUP BY doc_id""",
-)
+def _sentences_sql() -> str:
+    """Sentences of documents by walking along the words of each line: a break stands after a word if what it ends in and what follows ask for one."""
+    capital = f"regexp_matches(rest, {q(f'^{_OPEN}* ?' + chr(92) + 'p{Lu}')})"
+    near = f"regexp_matches(rest, {q(f'^{_OPEN}*' + chr(92) + 'p{Lu}')})"
+    opened = f"regexp_matches(rest, {q(f'^{_OPEN}+ ?' + chr(92) + 'p{Lu}')})"
+    begins = f"regexp_matches(rest, {q(f'^{_OPEN}* ?[' + chr(92) + 'p{Lu}0-9]')})"
+    held = f"regexp_matches(w, {q(f'(?:^|[^{W}.-])(?:{_HELD})[.]+$')}) OR regexp_matches(w, {q(chr(92) + '.[' + chr(92) + 'p{Lu}-]+[.]+$')})"
+    ends = f"""(regexp_matches(w, '([?!]|[.][.])$') AND {near})
+        OR ((regexp_matches(w, {q(f'[?!.]{_CLOSE}+$')}) OR (regexp_matches(w, {q(f'^{_CLOSE}+$')}) AND regexp_matches(coalesce(prior, ''), '[?!.]$'))) AND {capital})
+        OR (regexp_matches(w, '[?!.]$') AND {opened}) OR (regexp_matches(w, '[.]$') AND NOT ({held}) AND {begins})"""
+    return f"""lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS line, unnest(l) AS t FROM (SELECT doc_id, string_split(regexp_replace(
+            regexp_replace(text, {q(f"[{_SPACE}]+")}, ' ', 'g'), ' ?' || chr(10) || ' ?', chr(10), 'g'), chr(10)) AS l FROM documents)),
+        words AS (SELECT doc_id, line, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w FROM (SELECT doc_id, line, string_split(t, ' ') AS ws FROM lines)),
+        near AS (SELECT *, lag(w) OVER o AS prior, lead(w) OVER o || coalesce(' ' || lead(w, 2) OVER o, '') AS rest FROM words WINDOW o AS (PARTITION BY doc_id, line ORDER BY i)),
+        ended AS (SELECT *, coalesce({ends}, FALSE) AS ends FROM near),
+        numbered AS (SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, line ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM ended),
+        parts AS (SELECT doc_id, line, no, trim(string_agg(w, ' ' ORDER BY i), ' ') AS s FROM numbered GROUP BY doc_id, line, no)"""
+
+
+@query("sentences", f"WITH {_sentences_sql()} SELECT doc_id, count(*) AS n, min(s) AS least, max(s) AS most FROM parts WHERE s <> '' GROUP BY doc_id")
 def sentences(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.explode(T.sentences(F.col("text"))).alias("s"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("s").alias("least"), F.max("s").alias("most"))
 
 
-@query("complete_sentences")
+@query(
+    "complete_sentences",
+    f"""WITH {_sentences_sql()}, placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line, no) AS k FROM parts WHERE s <> ''),
+    ends AS (SELECT doc_id, min(k) FILTER (regexp_matches(s, {q(f"^[{CAPITAL}]")})) AS first, max(k) FILTER (regexp_matches(s, {q("[.!?" + chr(34) + "']$")})) AS last FROM placed GROUP BY doc_id)
+    SELECT d.doc_id, coalesce((SELECT string_agg(s, '|' ORDER BY k) FROM placed p JOIN ends e USING (doc_id) WHERE p.doc_id = d.doc_id AND k BETWEEN first AND last), '') AS sentences
+    FROM documents d WHERE text IS NOT NULL""",
+)
 def complete_sentences(spark, d):
     parts = T.strip_incomplete_sentences(T.sentences(F.col("text")))
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", parts.alias("sentences"))
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.array_join(parts, "|").alias("sentences"))
+
 
+_BOUND = f"'(?:^|[^{W}])(?:' || alternatives || ')(?:[^{W}]|$)'"
 
-@query("replace_words")
+
+@query(
+    "replace_words",
+    f"""WITH d AS (SELECT map(list(misread), list(corrected)) AS table_, string_agg(regexp_escape(misread), '|' ORDER BY length(misread) DESC, misread) AS alternatives
+        FROM replacements WHERE misread IS NOT NULL AND corrected IS NOT NULL),
+    cut AS (SELECT scan_id, content, table_, regexp_extract_all(content, {_BOUND}) AS found, regexp_split_to_array(content, {_BOUND}) AS between FROM scans, d),
+    meant AS (SELECT scan_id, content, between, list_transform(found, lambda m: coalesce(m[1] || table_[m[2:len(m) - 1]] || m[len(m)], m[1] || table_[m[2:]], table_[m[:len(m) - 1]] || m[len(m)], table_[m])) AS meant FROM cut)
+    SELECT scan_id, CASE WHEN content IS NOT NULL THEN array_to_string(list_transform(list_zip(between, meant), lambda z: z[1] || coalesce(z[2], '')), '') END AS content FROM meant""",
+)
 def replace_words(spark, d):
     words = dictionary(spark, d)
     return table(spark, d, "scans").select("scan_id", T.replace_words(F.col("content"), words).alias("content"))
 
 
+@query("replace_words_ignore_case")
+def replace_words_ignore_case(spark, d):
+    words = dictionary(spark, d)
+    return table(spark, d, "scans").select("scan_id", T.replace_words(F.col("content"), words, ignore_case=True).alias("content"))
+
+
+_GONE, _GAP = (p.replace(r"\t\n\f\r", r"\t\n\x{C}\r") for p in (T._NMT_GONE, T._NMT_SPACE))
+
+
+@query("clean_up", f"SELECT crawl_id, regexp_replace(regexp_replace(content, {q(_GONE)}, '', 'g'), {q(_GAP)}, ' ', 'g') AS content FROM crawl")
+def clean_up(spark, d):
+    return table(spark, d, "crawl").select("crawl_id", T.clean_up(F.col("content")).alias("content"))
+
+
+@query("tokenizer_text")
+def tokenizer_text(spark, d):
+    return table(spark, d, "crawl").select("crawl_id", T.tokenizer_text(F.col("content")).alias("content"))
+
+
 @query("nfkc")
 def nfkc(spark, d):
     return table(spark, d, "crawl").select("crawl_id", T.nfkc("content").alias("content"))
@@ -369,7 +428,22 @@ def length_bins_weighted(spark, d):
     return A.power_bins(A.length_histogram(A.documents_with_words(paragraphs(spark, d))), weighted=True)
 
 
-@query("stats_json")
+@query(
+    "year_table",
+    f"""WITH {_DOCS} SELECT CASE WHEN grouping(year) = 1 THEN 'all' ELSE CAST(year AS VARCHAR) END AS year, count(*) AS docs, CAST(sum(words) AS BIGINT) AS words,
+        round(avg(DISTINCT words), 6) AS avg_doc_len, round(avg(words), 6) AS mean_doc_len FROM docs GROUP BY GROUPING SETS ((year), ())""",
+)
+def year_table(spark, d):
+    return A.year_table(A.documents_with_words(paragraphs(spark, d)))
+
+
+@query(
+    "stats_json",
+    f"""WITH {_DOCS}, years AS (SELECT coalesce(year, -1) AS year, coalesce(title, '') AS title, words FROM docs),
+    lengths AS (SELECT year, sum(n) AS docs, sum(n * words) AS total, string_agg('"' || words || '":' || n, ',' ORDER BY words) AS list FROM (SELECT year, words, count(*) AS n FROM years GROUP BY ALL) GROUP BY year),
+    titles AS (SELECT year, string_agg(to_json(title) || ':' || n, ',' ORDER BY title) AS list FROM (SELECT year, title, count(*) AS n FROM years GROUP BY ALL) GROUP BY year)
+    SELECT year, '{{"#docs":' || docs || ',"#words":' || total || ',"doc lengths":{{' || l.list || '}},"titles":{{' || t.list || '}}}}' AS stats FROM lengths l JOIN titles t USING (year)""",
+)
 def stats_json(spark, d):
     return A.as_json(A.documents_with_words(paragraphs(spark, d)))
 
@@ -397,12 +471,42 @@ def bands(spark, d):
     return D.bands(D.fingerprints(table(spark, d, "documents"), "doc_id"), "doc_id")
 
 
-@query("similar_pairs")
+_PAIRS = """texts AS (SELECT min(doc_id) AS rep, text FROM documents WHERE length(text) > 5 GROUP BY text),
+    grams AS (SELECT rep, unnest(list_distinct(list_transform(range(1, length(text) - 4), lambda i: substring(text, i, 5)))) AS gram FROM texts),
+    sizes AS (SELECT rep, count(*) AS n FROM grams GROUP BY rep),
+    shared AS (SELECT a.rep AS src, b.rep AS dst, count(*) AS n FROM grams a JOIN grams b ON a.gram = b.gram AND a.rep < b.rep GROUP BY 1, 2),
+    pairs AS (SELECT src, dst, shared.n / WHOLE AS jaccard FROM shared JOIN sizes a ON a.rep = src JOIN sizes b ON b.rep = dst WHERE shared.n / WHOLE > 0.5)"""
+_UNION, _LEAST = _PAIRS.replace("WHOLE", "(a.n + b.n - shared.n)"), _PAIRS.replace("WHOLE", "least(a.n, b.n)")
+#: Rounds of the choice of mains that the SQL has room for.
+_ROUNDS = 10
+
+
+def _near_sql(rank: str) -> str:
+    """Classes by the choice in order of keys: round by round a text none of whose smaller neighbours is open or a main becomes one."""
+    rounds = "".join(
+        f""", r{k + 1} AS (SELECT s.node, CASE WHEN any_value(s.main) IS NOT NULL THEN any_value(s.main) WHEN coalesce(max(n.main), 0) = 1 THEN 0
+            WHEN count(e.dst) = count(n.main) THEN 1 END AS main
+            FROM r{k} s LEFT JOIN both_ e ON e.src = s.node AND e.dst < e.src LEFT JOIN r{k} n ON n.node = e.dst GROUP BY s.node)"""
+        for k in range(_ROUNDS)
+    )
+    return f"""WITH {_UNION}, both_ AS (SELECT src, dst FROM pairs UNION SELECT dst, src FROM pairs),
+    r0 AS (SELECT DISTINCT src AS node, CAST(NULL AS INTEGER) AS main FROM both_){rounds},
+    mains AS (SELECT s.node, CASE WHEN any_value(s.main) = 1 THEN s.node ELSE min(e.dst) FILTER (n.main = 1) END AS main
+        FROM r{_ROUNDS} s LEFT JOIN both_ e ON e.src = s.node AND e.dst < e.src LEFT JOIN r{_ROUNDS} n ON n.node = e.dst GROUP BY s.node),
+    ranked AS (SELECT main, node, row_number() OVER (PARTITION BY main ORDER BY {rank}, node <> main, node) AS k FROM mains JOIN texts ON texts.rep = mains.node),
+    best AS (SELECT main, node AS class_id FROM ranked WHERE k = 1),
+    links AS (SELECT src AS rep, count(*) AS links FROM both_ GROUP BY src),
+    firsts AS (SELECT min(doc_id) AS rep, text FROM documents WHERE text IS NOT NULL GROUP BY text)
+    SELECT d.doc_id, coalesce(class_id, f.rep) AS class_id, coalesce(links, 0) AS links FROM documents d JOIN firsts f USING (text)
+        LEFT JOIN mains ON mains.node = f.rep LEFT JOIN best USING (main) LEFT JOIN links ON links.rep = f.rep"""
+
+
+@query("similar_pairs", f"WITH {_UNION} SELECT * FROM pairs")
 def similar_pairs(spark, d):
     return D.similar_pairs(table(spark, d, "documents"), "doc_id")
 
 
-@query("similar_pairs_min")
+@query("similar_pairs_min", f"WITH {_LEAST} SELECT * FROM pairs")
 def similar_pairs_min(spark, d):
     return D.similar_pairs(table(spark, d, "documents"), "doc_id", kind="min")
 
@@ -412,12 +516,12 @@ def text_classes(spark, d):
     return D.text_classes(table(spark, d, "documents"), "doc_id").select("rep", "copies")
 
 
-@query("near_duplicates_first")
+@query("near_duplicates_first", _near_sql("0"))
 def near_duplicates_first(spark, d):
     return D.near_duplicates(table(spark, d, "documents"), "doc_id")
 
 
-@query("near_duplicates_longest")
+@query("near_duplicates_longest", _near_sql("-length(text)"))
 def near_duplicates_longest(spark, d):
     return D.near_duplicates(table(spark, d, "documents"), "doc_id", keep="longest")
 

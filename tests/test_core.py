@@ -45,31 +45,29 @@ def test_tv_tables(spark):
     assert column(spark, values, lambda t: R.tv_tables().keep(t)) == [True, False, True, True, None]
 
 
-def anonymous_model(text):
-    word = r"[^\W]"
-    date = "(?:19|20)?[0-9]{2}(?:01|02|03|04|05|06|07|08|09|10|11|12)[0-9]{2}"
-    rules = [
-        (date + " - [0-9]{4}", "XXXXXX - XXXX"),
-        (date + "-[0-9]{4}", "XXXXXX-XXXX"),
-        (date + "[0-9]{4}", "XXXXXXXXXX"),
-        (rf"@ {word}+", "NICK"),
-        (rf"@{word}+", "NICK"),
-        (rf"[\w.]+@{word}+(?:\.{word}+)+", "MEJLADRESS"),
-        (rf"{word}+(?: \. {word}+)* @ {word}+(?: \. {word}+)+", "MEJLADRESS"),
-    ]
-    whole = re.compile("|".join(f"(?P<g{i}>{p})" for i, (p, _) in enumerate(rules)))
-    return whole.sub(lambda m: rules[int(m.lastgroup[1:])][1], text)
-
-
-ANON = ["8001011234@mail.com", "800101-1234 och 19800101 - 1234.", "@nick @ nick a@b.c", "å.ö@b.se.", "a . b @ c . se x", "12", "", "198013011234", "a@b"]
+#: What each text becomes in a single pass.
+ANON = {
+    "8001011234@mail.com": "XXXXXXXXXXNICK.com",
+    "800101-1234 och 19800101 - 1234.": "XXXXXX-XXXX och XXXXXX - XXXX.",
+    "@nick @ nick a@b.c": "NICK NICK MEJLADRESS",
+    "å.ö@b.se.": "MEJLADRESS.",
+    "a . b @ c . se x": "MEJLADRESS x",
+    "800001-1234 801301-1234 801231-1234 801031 1234": "800001-1234 801301-1234 XXXXXX-XXXX 801031 1234",
+    "198013011234 198012011234": "1XXXXXXXXXX4 XXXXXXXXXX",
+    "a@b": "aNICK",
+    "a.b.c@d.e.f": "MEJLADRESS",
+    "@ ! @": "@ ! @",
+    "12": "12",
+    "": "",
+}
 
 
 def test_anonymize(spark):
-    assert column(spark, ANON, T.anonymize) == [anonymous_model(v) for v in ANON]
+    assert column(spark, list(ANON), T.anonymize) == list(ANON.values())
     long = ["x" * 40_000 + " 123456 a@b.se", "a.b." * 9_000 + "c@d.e"]
     assert column(spark, long, T.anonymize) == [v[: v.rfind(" ") + 1] + "MEJLADRESS" for v in long]
-    assert column(spark, ["8001011234@mail.com", None], T.anonymize) == ["XXXXXXXXXXNICK.com", None]
-    assert column(spark, ["8001011234@mail.com"], T.anonymize_sequential) == ["MEJLADRESS"]
+    assert column(spark, [None], T.anonymize) == [None]
+    assert column(spark, ["8001011234@mail.com", "@ @a"], T.anonymize_sequential) == ["MEJLADRESS", "NICK"]
 
 
 def strip_model(doc):
@@ -88,6 +86,9 @@ def test_replace_words(spark):
     words = {"örn": "om", "örnar": "ornar", "a.b": "c"}
     got = column(spark, ["örn är örnets örn", "örn örn örn", "örnar.", "xörn", "a.b axb", "", None], lambda t: T.replace_words(t, words))
     assert got == ["om är örnets om", "om örn om", "ornar.", "xörn", "c axb", "", None]
+    any_case = column(spark, ["ÖRN är Örnets örn", "A.B", "örnAR!"], lambda t: T.replace_words(t, words, ignore_case=True))
+    assert any_case == ["om är Örnets om", "c", "ornar!"]
+    assert column(spark, ["ÖRN"], lambda t: T.replace_words(t, {"örn": "x", "ÖRN": "y"}, ignore_case=True)) == ["y"]
 
 
 def test_python_normalizers(spark):
@@ -103,14 +104,42 @@ def test_ascii_fold_of_whole_strings(spark):
     assert column(spark, values, T.ascii_fold) == want
 
 
+#: Sentences of a text.
+SENTENCES = {
+    'Ett. Två! "Tre?" 4 st. slut': ["Ett.", "Två!", '"Tre?" 4 st. slut'],
+    "Han kom kl. 9 med A. B. Ek från AB. Sedan gick han m.m. Hej": ["Han kom kl. 9 med A. B. Ek från AB. Sedan gick han m.m.", "Hej"],
+    "Ja... Nej (kl. 10). Jo. Han gick. 5 st kom. U.S.A. Är": ["Ja...", "Nej (kl. 10).", "Jo.", "Han gick.", "5 st kom.", "U.S.A. Är"],
+    "Vad? (Ja.) [Nej.] slut etc. Hej": ["Vad?", "(Ja.)", "[Nej.] slut etc. Hej"],
+    "en  rad\nTvå.\x85Tre": ["en rad", "Två.", "Tre"],
+    "utan slut": ["utan slut"],
+    "  ": [],
+    "": [],
+}
+
+
 def test_sentences(spark):
-    values = ['Ett. Två! "Tre?" 4 st. slut', "utan slut", ""]
-    parts = column(spark, values, T.sentences)
-    assert parts == [["Ett.", "Två!", '"Tre?"', "4 st. slut"], ["utan slut"], []]
+    assert column(spark, list(SENTENCES), T.sentences) == list(SENTENCES.values())
     whole = column(spark, ["låg. Ett. Två! rest", "inget", "A."], lambda t: T.strip_incomplete_sentences(T.sentences(t)))
     assert whole == [["Ett."], [], ["A."]]
 
 
+def test_plain_punctuation(spark):
+    rows = {
+        "“a” ‘b’ ”c” «d» \u00a0»e": "\"a\" 'b' \"c\" \"d\" \"e",
+        "1 % ( x ) . y": "1% (x). y",
+        "– — …": "- - ...",
+        "5\u00a0000 kr\u00a0: ja\u00a0?": "5.000 kr: ja?",
+        " a\r\n b ": "a\n b",
+        "''x''": '" x "',
+    }
+    assert column(spark, list(rows), T.plain_punctuation) == list(rows.values())
+
+
+def test_tokenizer_text(spark):
+    values = ["a\x01b\tc\u200b\u200bd ﬁ", "\ufeffx\x0by", None, ""]
+    assert column(spark, values, T.tokenizer_text) == ["ab c d fi", " xy", None, ""]
+
+
 def test_shingles(spark):
     values = ["", "abcde", "abcdef", "abcdefg", "aaaaaaaaa", "😀bcdefg", None]
     got = column(spark, values, T.shingles)
@@ -191,6 +220,11 @@ def test_normalizer_driver(spark):
     packs = spark.createDataFrame([(1, ["ﬁ x@y.se", None, "Två. "]), (2, [])], "i int, content array<string>")
     got = {r["i"]: r["content"] for r in N.apply_normalizers(packs, ["anonymize", "unicode"], "i").collect()}
     assert got == {1: ["fi MEJLADRESS", None, "Två. "], 2: []}
+    odd = ["a\x1db", "\x1a", "", None, "ﬁ\x1e"]
+    packs = spark.createDataFrame([(1, odd), (2, None), (3, []), (4, [None]), (5, ["½"])], "i int, content array<string>")
+    for name in ("unicode", "unidecode"):
+        got = {r["i"]: r["content"] for r in N.apply_normalizers(packs.repartition(1), [name], "i").collect()}
+        assert got == {1: ["a\x1db", "\x1a", "", None, "fi\x1e"], 2: None, 3: [], 4: [None], 5: ["1⁄2" if name == "unicode" else "1/2"]}
     with pytest.raises(ValueError):
         N.apply_normalizers(packs, ["strip_sentence"], "i")
     split = N.apply_normalizers(packs, ["sentence_split", "strip_sentence"], "i").collect()
@@ -284,8 +318,10 @@ def test_stats(spark):
     assert rows == {2000: (2, 4, 2.0, 2.0), -1: (1, 1, 1.0, 1.0)}
     bins = {r["bin"]: r["n"] for r in A.power_bins(A.length_histogram(worded)).collect()}
     assert bins == {2: 1, 4: 2}
-    parsed = json.loads(A.as_json(worded).first()[0])
-    assert parsed["#docs"] == {"2000": 2, "-1": 1} and parsed["titles"]["2000"] == {"t": 2}
+    parsed = {r["year"]: json.loads(r["stats"]) for r in A.as_json(worded).collect()}
+    assert parsed[2000] == {"#docs": 2, "#words": 4, "doc lengths": {"2": 2}, "titles": {"t": 2}} and parsed[-1]["titles"] == {"": 1}
+    table = {r["year"]: r["docs"] for r in A.year_table(worded).collect()}
+    assert table == {"2000": 2, "-1": 1, "all": 3}
 
 
 def test_readers(spark, tmp_path):
