@@ -309,7 +309,8 @@ def choose(docs: DataFrame, edges: DataFrame, key: str, keep: str = "first", tex
     """Keys of the documents that survive: of each star around a main the first, the longest, or that of the lowest score.
 
     Documents without an edge survive.  Ties go to the main, then to the smaller
-    key; a null score ranks last.
+    key; a null score ranks last.  Scores are compared as they are: the length
+    of the main, by which each may be divided, is the same for all of a star.
     """
     stars = meet(mains(edges), docs.select(F.col(key).alias("node"), F.length(text).alias("_size"), *([F.col(score).alias("_score")] if score else [])), "node")
     rank = {"first": F.lit(0.0), "longest": -F.col("_size").cast("double"), "score": F.coalesce("_score", F.lit(float("inf"))) if score else F.lit(0.0)}[keep]

@@ -57,6 +57,16 @@ def language(provider: Callable[[Column], Column], target: str = "sv", margin: f
     return FilterSpec("language", lambda t: F.coalesce(F.aggregate(provider(t), start, step, leads), F.lit(False)))
 
 
+#: The order in which filters run, whatever the order in which they are asked for.
+ORDER = ("num_tokens", "unicode", "tv_tables", "language", "exact_duplicate", "exact_duplicate_min_size")
+
+
+def planned(specs: list[FilterSpec]) -> list[FilterSpec]:
+    """Filters in their fixed order; those of other names come after the named ones, in the order given."""
+    place = {name: k for k, name in enumerate(ORDER)}
+    return sorted(specs, key=lambda spec: place.get(spec.name, len(ORDER)))
+
+
 def first_failing(text: Column, specs: list[FilterSpec]) -> Column:
     """Name of the first filter that a text fails, in the order given; null if it passes all. Null text passes."""
     line, verdict = one_line(text), F.lit(None).cast("string")
@@ -93,12 +103,12 @@ def exact_duplicates(docs: DataFrame, text: str, order: list[str], least_tokens:
 def apply_filters(
     docs: DataFrame, specs: list[FilterSpec], text: str = "text", order: list[str] | None = None, duplicates: str | None = None, least_tokens: int = 30
 ) -> DataFrame:
-    """All rows with their text on one line and ``filter_name``, the first filter they fail, or null.
+    """All rows with their text on one line and ``filter_name``, the first filter they fail in the fixed order, or null.
 
     ``duplicates``: ``exact`` or ``exact_min_size`` also removes later copies
     among the rows that passed everything else.
     """
-    rows = docs.withColumn("filter_name", first_failing(F.col(text), specs)).withColumn(text, one_line(F.col(text)))
+    rows = docs.withColumn("filter_name", first_failing(F.col(text), planned(specs))).withColumn(text, one_line(F.col(text)))
     if duplicates is None:
         return rows
     passed = rows.where(F.col("filter_name").isNull() & F.col(text).isNotNull())

@@ -10,6 +10,7 @@ from corpusloom.functions.patterns import ABBREVIATIONS, ANONYMOUS, ANONYMOUS_SE
 from corpusloom.operators import content as C
 from corpusloom.operators import dedup as D
 from corpusloom.operators import filters as R
+from corpusloom.operators import grams as M
 from corpusloom.operators import scoring as S
 from corpusloom.operators import stats as A
 from corpusloom.plans.pipelines import run_pipeline
@@ -211,6 +212,28 @@ def filter_language_words(spark, d):
     return table(spark, d, "documents").where(F.col("text").isNotNull() & spec.keep(F.col("text"))).select("doc_id")
 
 
+#: The languages of the labels.
+LABELS = ["da", "de", "en", "fi", "fr", "sv"]
+
+
+@query(
+    "filter_language_grams",
+    rf"""WITH texts AS (SELECT doc_id, lang, string_split(' ' || trim(regexp_replace(lower(text), '[^\p{{L}}]+', ' ', 'g'), ' ') || ' ', '') AS c FROM documents WHERE text IS NOT NULL),
+    grams AS (SELECT doc_id, lang, ((unicode(c[i]) * 31 + unicode(c[i + 1])) % {M.BUCKETS} * 31 + unicode(c[i + 2])) % {M.BUCKETS} AS b
+        FROM (SELECT doc_id, lang, c, unnest(range(1, len(c) - 1)) AS i FROM texts)),
+    labels AS (SELECT unnest({LABELS}) AS label), buckets AS (SELECT unnest(range({M.BUCKETS})) AS b),
+    counts AS (SELECT label, buckets.b, count(grams.b) AS n FROM labels CROSS JOIN buckets LEFT JOIN grams ON grams.lang = label AND grams.b = buckets.b GROUP BY 1, 2),
+    model AS (SELECT label, b, ln((n + 0.5) / (sum(n) OVER (PARTITION BY label) + 0.5 * {M.BUCKETS})) AS w FROM counts),
+    sums AS (SELECT doc_id, label, sum(w) AS s FROM (SELECT doc_id, b FROM grams) JOIN model USING (b) GROUP BY 1, 2),
+    probs AS (SELECT doc_id, label, 1 / (SELECT sum(exp(least(o.s - a.s, 700))) FROM sums o WHERE o.doc_id = a.doc_id) AS p FROM sums a)
+    SELECT doc_id FROM probs GROUP BY doc_id HAVING max(p) FILTER (label = 'sv') - max(p) FILTER (label <> 'sv') >= 0.5""",
+)
+def filter_language_grams(spark, d):
+    docs = table(spark, d, "documents")
+    spec = R.language(M.gram_provider(M.learn(docs, "text", "lang", LABELS)))
+    return docs.where(F.col("text").isNotNull() & spec.keep(F.col("text"))).select("doc_id")
+
+
 _SPECS = [R.num_tokens(), R.readable(), R.tv_tables()]
 _VERDICT = f"""CASE WHEN content IS NULL THEN NULL WHEN {WORDS(LINE)} < 30 THEN 'num_tokens'
     WHEN regexp_matches({LINE}, {q(UNREADABLE)}) THEN 'unicode' WHEN {TIMES(LINE)} > 3 THEN 'tv_tables' END"""
@@ -607,6 +630,32 @@ def perplexity_bigram(spark, d):
     return S.bigram_scores(table(spark, d, "documents"), "doc_id")
 
 
+@query(
+    "sentence_scores",
+    f"""WITH {_sentences_sql()}, chain AS (SELECT doc_id, list_concat(['<s>'], regexp_extract_all(lower(s), {q(TOKEN)})) AS c FROM parts WHERE s <> ''),
+    pairs AS (SELECT doc_id, unnest(c[1:len(c) - 1]) AS a, unnest(c[2:]) AS b FROM chain WHERE len(c) > 1),
+    ab AS (SELECT a, b, count(*) AS n FROM pairs GROUP BY a, b), firsts AS (SELECT a, sum(n) AS t FROM ab GROUP BY a), types AS (SELECT count(DISTINCT b) AS v FROM ab),
+    scored AS (SELECT doc_id, round(pow(10.0, -sum(log10((n + 0.1) / (t + 0.1 * v))) / count(*)), 1) AS score FROM pairs JOIN ab USING (a, b) JOIN firsts USING (a), types GROUP BY doc_id)
+    SELECT doc_id, coalesce(score, -1) AS score FROM documents LEFT JOIN scored USING (doc_id)""",
+)
+def sentence_scores(spark, d):
+    return S.sentence_scores(table(spark, d, "documents"), "doc_id")
+
+
+@query(
+    "cut_by_perplexity",
+    f"""WITH chain AS (SELECT doc_id, pos, text, list_concat(['<s>'], regexp_extract_all(lower(text), {q(TOKEN)})) AS c FROM ({PARAGRAPHS})),
+    pairs AS (SELECT doc_id, pos, unnest(c[1:len(c) - 1]) AS a, unnest(c[2:]) AS b FROM chain WHERE len(c) > 1),
+    ab AS (SELECT a, b, count(*) AS n FROM pairs GROUP BY a, b), firsts AS (SELECT a, sum(n) AS t FROM ab GROUP BY a), types AS (SELECT count(DISTINCT b) AS v FROM ab),
+    scored AS (SELECT doc_id, pos, pow(10.0, -sum(log10((n + 0.1) / (t + 0.1 * v))) / count(*)) AS score FROM pairs JOIN ab USING (a, b) JOIN firsts USING (a), types GROUP BY doc_id, pos)
+    SELECT doc_id, string_agg(text, '|' ORDER BY pos) AS texts, count(*) AS n FROM scored JOIN chain USING (doc_id, pos) WHERE score < 430 GROUP BY doc_id""",
+)
+def cut_by_perplexity(spark, d):
+    packages_ = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.split("text", "\n", -1).alias("content"))
+    found = S.cut_by_perplexity(packages_, "doc_id")
+    return found.select("doc_id", F.array_join("content", "|").alias("texts"), F.size("content").cast("bigint").alias("n"))
+
+
 # --- sources
 
 

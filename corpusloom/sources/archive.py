@@ -3,8 +3,10 @@
 Options: ``url``, ``ids`` (comma separated) or ``ids_path`` (a text file of
 ids), ``page`` (ids per partition), ``transport`` (``module:function`` called as
 ``f(url, headers)`` giving bytes or raising), ``tags`` and ``genre`` for a
-search by ``search`` (``module:function``), and ``user``/``password``, which
-are never printed.
+search by ``search`` (``module:function``, called with what all results must
+have, giving their ids one after the other), ``user``/``password``, which are
+never printed, or ``login_file``, a flat YAML file of ``url``, ``user`` and
+``password``.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import base64
 import importlib
 import json
+import re
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -22,6 +25,11 @@ from corpusloom.schema import PACKAGE
 CONNECT, READ, REDIRECT, BACKOFF = 5, 4, 5, 0.02
 
 
+#: Errors in a row after which a search is given up.
+MAX_ERRORS = 20
+_pool = None
+
+
 class Ids(InputPartition):
     def __init__(self, ids: list[str]):
         self.ids = ids
@@ -34,10 +42,12 @@ def _load(name: str):
 
 def http_get(url: str, headers: dict[str, str]) -> bytes:
     """GET with retries; the body of a successful answer."""
+    global _pool
     import urllib3
 
-    retries = urllib3.Retry(connect=CONNECT, read=READ, redirect=REDIRECT, backoff_factor=BACKOFF)
-    answer = urllib3.PoolManager(retries=retries).request("GET", url, headers=headers)
+    if _pool is None:  # one per process, whose connections stay open
+        _pool = urllib3.PoolManager(retries=urllib3.Retry(connect=CONNECT, read=READ, redirect=REDIRECT, backoff_factor=BACKOFF))
+    answer = _pool.request("GET", url, headers=headers)
     if answer.status >= 400:
         raise OSError(f"status {answer.status}")
     return answer.data
@@ -64,14 +74,49 @@ def contents(found: list | None) -> list[str | None]:
     return out
 
 
+def read_login(path: str) -> dict[str, str]:
+    """The entries of a flat YAML file: ``key: value`` lines, quotes and comments allowed."""
+    found = {}
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            m = re.match(r"""\s*([\w.-]+)\s*:\s*(?:"([^"]*)"|'([^']*)'|(.*?))\s*(?:\s#.*)?$""", line)
+            if m and not line.lstrip().startswith("#"):
+                found[m[1]] = next((g for g in m.groups()[1:] if g is not None), "")
+    return found
+
+
+def drained(keys) -> Iterator[str]:
+    """Ids of a search until it ends or gives an empty one; errors of the connection are passed over, up to a bound in a row."""
+    keys, errors = iter(keys), 0
+    while True:
+        try:
+            found = next(keys)
+        except StopIteration:
+            return
+        except Exception as e:
+            if not (isinstance(e, OSError) or type(e).__name__ == "ProtocolError"):
+                raise
+            errors += 1
+            if errors > MAX_ERRORS:
+                raise
+            continue
+        errors = 0
+        if not found:
+            return
+        yield found
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
+        if "login_file" in options:
+            options = read_login(options["login_file"]) | {k: v for k, v in options.items() if k != "login_file"}
         self.options = options
 
     def ids(self) -> list[str]:
         if "search" in self.options:
-            wanted = {k: self.options[k] for k in ("tags", "genre") if k in self.options}
-            return list(_load(self.options["search"])(wanted))
+            names = {"tags": "tags", "genre": "meta.genre"}
+            wanted = {name: self.options[k] for k, name in names.items() if k in self.options}
+            return list(drained(_load(self.options["search"])(wanted)))
         if "ids_path" in self.options:
             with open(self.options["ids_path"], encoding="utf-8") as f:
                 return [line.strip() for line in f if line.strip()]
@@ -112,3 +157,11 @@ class ArchiveSource(DataSource):
 
     def reader(self, schema) -> ArchiveReader:
         return ArchiveReader(dict(self.options))
+
+
+def download(spark, path: str, **options: str) -> None:
+    """Append the packages of an archive to JSON lines under ``path``, in a folder per year; those without metadata are left out."""
+    from corpusloom.sources.sinks import write_packages
+
+    spark.dataSource.register(ArchiveSource)
+    write_packages(spark.read.format("archive").options(**options).load(), path, by_year=True)

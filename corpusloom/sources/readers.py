@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,3 +119,13 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def text_batches(lines: DataFrame, size: int = 50, text: str = "value") -> Iterator[list[str]]:
+    """Lists of ``size`` texts, the last one shorter, partition by partition; only one partition is on the driver at a time."""
+    batch: list[str] = []
+    for row in lines.select(text).toLocalIterator():
+        batch.append(row[0])
+        if len(batch) == size:
+            yield batch
+            batch = []
+    if batch:
+        yield batch

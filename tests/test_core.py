@@ -1,8 +1,10 @@
+import itertools
 import json
 import math
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -14,6 +16,7 @@ from corpusloom.functions import text as T
 from corpusloom.operators import content as C
 from corpusloom.operators import dedup as D
 from corpusloom.operators import filters as R
+from corpusloom.operators import grams as M
 from corpusloom.operators import normalizers as N
 from corpusloom.operators import scoring as S
 from corpusloom.operators import stats as A
@@ -206,6 +209,25 @@ def test_language_filter(spark):
     assert column(spark, ["och att x", "och and", "x", "and to", ""], lambda t: spec.keep(t)) == [True, False, False, False, False]
 
 
+def test_filters_run_in_their_fixed_order(spark):
+    df = spark.createDataFrame([(1, "漢字")], "i int, text string")
+    marked = R.apply_filters(df, [R.readable(), R.num_tokens(2)], order=["i"]).first()
+    assert marked["filter_name"] == "num_tokens"
+
+
+def test_gram_provider(spark):
+    sv, en = "det är en båt och den ligger vid kajen", "there is a boat and it lies at the quay"
+    docs = spark.createDataFrame([(sv, "sv"), (en, "en"), (None, "sv"), ("", "en"), ("x", "other")], "text string, lang string")
+    model = M.learn(docs, "text", "lang", ["en", "sv"])
+    spec = R.language(M.gram_provider(model), margin=0.9)
+    assert column(spark, [sv, en, "båten ligger", "a boat lies", "123", "", None], lambda t: spec.keep(t)) == [True, False, True, False, False, False, False]
+    grams = lambda t: [((ord(a) * 31 + ord(b)) % M.BUCKETS * 31 + ord(c)) % M.BUCKETS for a, b, c in zip(t, t[1:], t[2:])]
+    assert column(spark, ["Åh, nej!", "a"], M.trigrams) == [grams(" åh nej "), grams(" a ")]
+    logs = {name: sum(model[name][g] for g in grams(" båt boat ")) for name in model}
+    probs = column(spark, ["båt boat"], M.gram_provider(model))[0]
+    assert {p["label"]: p["prob"] for p in probs} == pytest.approx({a: 1 / sum(math.exp(logs[b] - logs[a]) for b in logs) for a in logs})
+
+
 def test_filter_lines_swedish(spark, tmp_path):
     from corpusloom.plans.core_queries import filter_lines_swedish
 
@@ -311,6 +333,17 @@ def test_scores(spark):
     assert a[0] == pytest.approx(100.0) and a[1] == pytest.approx(10 / 10 ** math.log(3)) and tuple(b) == (None, None)
 
 
+def test_scores_of_a_given_model(spark):
+    letters_model = lambda: ((lambda text: list(text)), (lambda tokens: -2.0 * len(tokens)))
+    df = spark.createDataFrame([(1, "abc"), (2, ""), (3, None), (4, "Ab. Cd"), (5, " ")], "i int, text string")
+    assert {r["i"]: r["score"] for r in S.model_scores(df, "i", letters_model).collect()} == {1: 100.0, 2: -math.inf, 3: -math.inf, 4: 100.0, 5: 100.0}
+    assert {r["i"]: r["score"] for r in S.model_scores(df, "i", letters_model, by_sentence=True).collect()} == {1: 100.0, 2: -1.0, 3: -1.0, 4: 100.0, 5: -1.0}
+    assert {r["i"] for r in S.sentence_scores(df, "i").where("score = -1").collect()} == {2, 3, 5}
+    packs = spark.createDataFrame([("p", ["a b", None, "c"]), ("q", [])], "k string, content array<string>")
+    found = S.cut_by_perplexity(packs, "k").collect()
+    assert [(r["k"], r["content"]) for r in found] == [("p", ["a b", "c"])] and len(found[0]["scores"]) == 2
+
+
 def test_stats(spark):
     docs = spark.createDataFrame([(2000, "t", "a b"), (2000, "t", "c d"), (-1, None, "x"), (2001, "u", " ")], "year int, title string, text string")
     worded = A.documents_with_words(docs)
@@ -373,6 +406,68 @@ def fake_search(wanted):
     return ["p1", "p2", "p3"] if wanted == {"tags": "issue"} else []
 
 
+def fake_both(wanted):
+    return ["p7"] if wanted == {"tags": "issue", "meta.genre": "news"} else []
+
+
+class Flaky:
+    """Ids with lost connections between them, and an empty one at the end."""
+
+    def __init__(self, found):
+        self.found = iter(found)
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        x = next(self.found)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+
+def test_draining_a_search():
+    class ProtocolError(Exception):
+        pass
+
+    assert list(archive.drained(Flaky(["a", ProtocolError(), OSError(), "b", "", "c"]))) == ["a", "b"]
+    assert list(archive.drained([])) == []
+    with pytest.raises(ValueError):
+        list(archive.drained(Flaky(["a", ValueError()])))
+    with pytest.raises(OSError):
+        list(archive.drained(Flaky([OSError()] * 100)))
+
+
+def test_login_file(tmp_path):
+    f = tmp_path / "login.yaml"
+    f.write_text("# login\nurl: https://x.test/\nuser: 'me'  # who\npassword: \"a: b#c\"\n\n")
+    assert archive.read_login(str(f)) == {"url": "https://x.test/", "user": "me", "password": "a: b#c"}
+    assert archive.ArchiveReader({"login_file": str(f), "user": "you"}).options == {"url": "https://x.test/", "user": "you", "password": "a: b#c"}
+
+
+def test_download_appends_by_year(spark, tmp_path):
+    module = tmp_path / "stub_transport.py"
+    module.write_text(
+        "def get(url, headers):\n"
+        "    if url.endswith('meta.json'):\n"
+        "        return b'{\"title\": \"T\", \"year\": 1990}' if '/p1/' in url else b'{\"title\": \"U\"}'\n"
+        "    return b'[{\"content\": \"a\"}]'\n"
+    )
+    spark.sparkContext.addPyFile(str(module))
+    out = str(tmp_path / "out")
+    for ids in ("p1", "p2,p3"):
+        archive.download(spark, out, url="http://x/", ids=ids, transport="stub_transport:get", page="1")
+    back = readers.read_packages(spark, out, suffix=".json").select("meta.package_id", "meta.year").collect()
+    assert {tuple(r) for r in back} == {("p1", 1990), ("p2", -1), ("p3", -1)}
+    assert (tmp_path / "out" / "year=1990").exists()
+
+
+def test_text_batches(spark):
+    lines = spark.createDataFrame([(str(i),) for i in range(7)], "value string").repartition(3)
+    got = list(readers.text_batches(lines, 3))
+    assert [len(b) for b in got] == [3, 3, 1] and sorted(x for b in got for x in b) == list("0123456")
+
+
 def test_archive(monkeypatch):
     import sys
 
@@ -382,16 +477,101 @@ def test_archive(monkeypatch):
     parts = reader.partitions()
     assert [p.ids for p in parts] == [["p1", "p2"], ["p3"]]
     rows = [r for p in parts for r in reader.read(p)]
+    with_genre = archive.ArchiveReader(options | {"genre": "news", "search": "fake_archive_module:fake_both"})
+    assert with_genre.ids() == ["p7"]
     assert [r[0][0] for r in rows] == ["p1", "p3"] and rows[0] == (("p1", "T", "no created", -1, "no edition", "no issue"), ["a", "b c", None])
 
 
-def test_pipelines(spark):
-    long_ = "Det var en gång en lång text som handlade om flera saker i byn. " * 3
-    rows = [(1, "sv", [long_, "kort", long_ + "x"]), (2, "sv", [long_]), (3, "en", [long_]), (4, "sv", []), (5, None, None)]
-    packs = spark.createDataFrame(rows, "k int, lang string, content array<string>")
-    for name in PIPELINES:
-        got = {r["k"]: r["content"] for r in run_pipeline(packs, name, "k", R.label_provider(F.col("lang"))).collect()}
-        assert got.get(2) in ([], None) and not [t for t in got.get(3) or [] if t]
+def curated(packages, name, errors, least):
+    """The steps of a pipeline by hand: ``{key: (lang, content)}`` to ``{key: content}``."""
+    langs = {k: lang for k, (lang, _) in packages.items()}
+    rows = {k: list(c or []) for k, (_, c) in packages.items()}
+
+    def keeps(k, t, filters):
+        times = len(re.findall(r"\d?\d[.:]\d\d", t))
+        readable = all(ord(c) < 0x250 for c in t)
+        ok = {"num_tokens": len(t.split()) >= least, "unicode": readable, "tv_tables": times <= 3, "language": langs[k] == "sv"}
+        return all(ok[f] for f in filters)
+
+    def normalized(t, names):
+        if "unicode" in names:
+            t = unicodedata.normalize("NFKC", t)
+        if "moses" in names:
+            t = t.replace("“", '"').replace("”", '"').replace("–", "-")
+        if "anonymize" in names:
+            t = t.replace("@kurt", "NICK").replace("800101-1234", "XXXXXX-XXXX")
+        if "common_errors" in names:
+            for bad, good in errors.items():
+                t = re.sub(rf"(^|\W){bad}(\W|$)", rf"\1{good}\2", t)
+        return strip_model(t) if "strip_string" in names else t
+
+    def perplexities(docs):
+        pairs = [list(zip(["<s>", *(ws := t.lower().split())], ws)) for t in docs]
+        both, first = Counter(p for ps in pairs for p in ps), Counter(a for ps in pairs for a, _ in ps)
+        types = len({b for _, b in both})
+        p = lambda a, b: math.log10((both[a, b] + 0.1) / (first[a] + 0.1 * types))
+        return [round(10 ** (-sum(p(*x) for x in ps) / len(ps)), 4) if ps else math.inf for ps in pairs]
+
+    for step, *rest in PIPELINES[name]:
+        if step in ("filter", "filter_no_breaks"):
+            for k, c in rows.items():
+                c = [None if t is None else t.replace("\n", " ") for t in c]
+                rows[k] = fold_model([(t, t is not None and keeps(k, t, rest[0])) for t in c], step != "filter")
+        elif step == "normalize":
+            rows = {k: [None if t is None else normalized(t, rest[0]) for t in c] for k, c in rows.items()}
+        elif step == "exact":
+            seen = set()
+            for k in sorted(rows):
+                marked = []
+                for t in rows[k]:
+                    marked.append((t, t is not None and t not in seen))
+                    seen.add(t)
+                rows[k] = fold_model(marked)
+        elif step == "fuse":
+            groups = {k: [" ".join(g) for is_null, g in ((n, list(g)) for n, g in itertools.groupby(c, lambda t: t is None)) if not is_null] for k, c in rows.items() if c}
+            rows = groups
+        else:
+            docs = sorted(((f"{k}_{i}", k, i, t) for k, c in rows.items() for i, t in enumerate(c) if t is not None))
+            texts = [d[3] for d in docs]
+            edges = [(a, b) for a, b in pairs_model(texts, "union")]
+            main = greedy(len(docs), edges)
+            score = perplexities(texts)
+            stars = {}
+            for d, m in main.items():
+                stars.setdefault(m, []).append(d)
+            gone = set()
+            for m, star in stars.items():
+                best = min(star, key=lambda d: (score[d], d != m, d)) if rest[0] == "score" else m
+                gone |= set(star) - {best}
+            rows = {k: [t for j, (_, key, _, t) in enumerate(docs) if key == k and j not in gone] for k in rows}
+            for k in rows:
+                kept = sorted((i, t) for j, (_, key, i, t) in enumerate(docs) if key == k and j not in gone)
+                rows[k] = [t for _, t in kept]
+    return rows
+
+
+def curation_fixture():
+    rng = random.Random(8)
+    words = "byn kvarnen hamnen skolan vägen mötet tidningen festen staden båten fisket handeln ån bron".split()
+    sentence = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + ". "
+    base = [sentence(9) + sentence(9) + "slut" for _ in range(14)]
+    odd = ["“Hej – ﬁsket” " + base[0], base[1] + " @kurt 800101-1234 x", "örn " + base[2] + " örn", "漢字 " + base[3], "1.00 2.00 3.00 4.00 " + base[4], "kort", "", "rad\n" + base[5]]
+    near = [b[:-12] + rng.choice(words) + " slut" for b in base[6:]]
+    pool = base + odd + near + [None, None]
+    langs = ["sv", "sv", "sv", "en", None]
+    return {k: (langs[k % 5], [rng.choice(pool) for _ in range(rng.randint(0, 9))] if k else None) for k in range(30)}
+
+
+@pytest.mark.parametrize("name", sorted(PIPELINES))
+def test_pipelines_against_brute_force(spark, tmp_path, name):
+    packages, errors = curation_fixture(), {"örn": "om"}
+    df = spark.createDataFrame([(f"k{k:02}", *v) for k, v in packages.items()], "k string, lang string, content array<string>")
+    got = run_pipeline(df, name, "k", R.label_provider(F.col("lang")), errors=errors, least_tokens=15, export=str(tmp_path / "text"))
+    want = curated({f"k{k:02}": v for k, v in packages.items()}, name, errors, 15)
+    assert {r["k"]: list(r["content"] or []) for r in got.collect()} == want
+    lines = [x for f in sorted((tmp_path / "text").glob("*.txt")) for x in f.read_text().splitlines()]
+    assert lines == [t for k in sorted(want) for t in want[k] if t]
+    assert run_pipeline(df.where("false"), name, "k", R.label_provider(F.col("lang"))).count() == 0
 
 
 def test_ocr_pipeline_keeps_the_copy_of_lowest_perplexity(spark):
