@@ -71,5 +71,7 @@ PUNCTUATION = (
     # ends
     (f"^[{WS}]+", ""), (f"[{WS}]+$", ""),
 )
+#: Where the rules on quotes of French and spaces that don't break begin.
+PUNCTUATION_TAIL = next(k for k, rule in enumerate(PUNCTUATION) if "«" in rule[0])
 #: Abbreviations after whose full stop a Swedish sentence goes on, beside single capitals.
 ABBREVIATIONS = "AB G VG dvs etc from iaf jfr kl kr mao mfl mm osv pga tex tom vs".split()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, StringType
 
-from corpusloom.functions.patterns import ABBREVIATIONS, ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, TOKEN, WS, W, quick
+from corpusloom.functions.patterns import ABBREVIATIONS, ANONYMOUS, ANONYMOUS_SEQUENCE, CAPITAL, PUNCTUATION, PUNCTUATION_TAIL, TOKEN, WS, W, quick
 
 
 def token_count(text: Column) -> Column:
@@ -108,10 +108,27 @@ def _alternatives(keys: list[str], depth: int = 0) -> str:
 
 
 def plain_punctuation(text: Column) -> Column:
-    """Quotes, dashes and spaces in plain forms."""
-    for pattern, by in PUNCTUATION:
-        text = F.regexp_replace(text, pattern, by)
-    return text
+    """Quotes, dashes and spaces in plain forms: what the rules of ``PUNCTUATION`` give one after the other, in few passes.
+
+    Single characters that no earlier rule looks at are translated together,
+    rules on the same spaces are one pattern, and rules on spaces that don't
+    break are spared a text without any.
+    """
+    text = F.translate(text, "–„“”\r", '-"""')
+    text = F.regexp_replace(F.regexp_replace(text, r"(?=\()|(?<=\))", " "), " {2,}", " ")
+    text = F.regexp_replace(text, r" (?=[:;)])|(?<=\() |(?<=\)) (?=[.!?,])|(?<=[0-9]) (?=%)", "")
+    text = F.replace(F.translate(text, "`", "'"), F.lit("''"), F.lit(' " '))
+    text = F.regexp_replace(F.replace(text, F.lit("—"), F.lit(" - ")), " {2,}", " ")
+    text = F.replace(F.replace(F.translate(text, "´‘‚’", "''''"), F.lit("''"), F.lit('"')), F.lit("…"), F.lit("..."))
+
+    def unbroken(t: Column) -> Column:
+        for pattern, by in PUNCTUATION[PUNCTUATION_TAIL:]:
+            t = F.regexp_replace(t, pattern, by)
+        return t
+
+    ends = f"^[{WS}]+|[{WS}]+$"
+    plain = lambda t: F.regexp_replace(F.translate(t, "«»", '""'), ends, "")
+    return F.transform(F.array(text), lambda t: F.when(t.contains(" "), unbroken(t)).otherwise(plain(t)))[0]
 
 
 def collapse_spaces(text: Column) -> Column:

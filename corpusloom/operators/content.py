@@ -34,8 +34,8 @@ def break_fold(elements: Column, remove_breaks: bool = False) -> Column:
 
 
 def _once(array: Column, function) -> Column:
-    """``function(array)`` with the array evaluated once, however often the function names it; null for null."""
-    return F.when(array.isNotNull(), F.transform(F.array(array), function)[0])
+    """``function(array)`` with the array evaluated once, however often the function names it."""
+    return F.transform(F.array(array), function)[0]
 
 
 def filter_content(packages: DataFrame, verdict, content: str = "content", remove_breaks: bool = False) -> DataFrame:

@@ -380,7 +380,18 @@ def replace_words(spark, d):
     return table(spark, d, "scans").select("scan_id", T.replace_words(F.col("content"), words).alias("content"))
 
 
-@query("replace_words_ignore_case")
+_ANY_CASE = f"'(?i)(?:^|[^{W}])(?:' || alternatives || ')(?:[^{W}]|$)'"
+
+
+@query(
+    "replace_words_ignore_case",
+    f"""WITH d AS (SELECT map(list(misread), list(corrected)) AS table_, string_agg(regexp_escape(misread), '|' ORDER BY length(misread) DESC, misread) AS alternatives
+        FROM (SELECT lower(misread) AS misread, any_value(corrected) AS corrected FROM replacements WHERE misread IS NOT NULL AND corrected IS NOT NULL GROUP BY 1)),
+    cut AS (SELECT scan_id, content, table_, regexp_extract_all(content, {_ANY_CASE}) AS found, regexp_split_to_array(content, {_ANY_CASE}) AS between FROM scans, d),
+    meant AS (SELECT scan_id, content, between, list_transform(found, lambda m: coalesce(m[1] || table_[lower(m[2:len(m) - 1])] || m[len(m)], m[1] || table_[lower(m[2:])],
+        table_[lower(m[:len(m) - 1])] || m[len(m)], table_[lower(m)])) AS meant FROM cut)
+    SELECT scan_id, CASE WHEN content IS NOT NULL THEN array_to_string(list_transform(list_zip(between, meant), lambda z: z[1] || coalesce(z[2], '')), '') END AS content FROM meant""",
+)
 def replace_words_ignore_case(spark, d):
     words = dictionary(spark, d)
     return table(spark, d, "scans").select("scan_id", T.replace_words(F.col("content"), words, ignore_case=True).alias("content"))
