@@ -61,17 +61,20 @@ def statistics(df: DataFrame, common: list[str], key: str = "box_id", content: s
     parts = parts.select(
         key,
         "_text",
-        F.regexp_replace(text, r"[\s\p{Z}]+", "").alias("_signs"),
+        F.trim(F.regexp_replace(text, r"[\s\p{Z}]+", " ")).alias("_flat"),
         F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("_tokens"),
         F.filter(F.split(text, r"[\r\n]+"), lambda x: x.rlike(r"\S")).alias("_lines"),
-        F.regexp_count(text, F.lit(r"[^\s\p{Z}]+")).alias("n_words"),
     )
-    parts = parts.withColumn("_letters", F.regexp_replace("_signs", r"[^\p{L}]+", ""))
+    # words have one space between them, so the spaces count them, and nothing else is left to look for white space
+    parts = parts.withColumn("_signs", F.replace("_flat", F.lit(" ")))
+    words = F.when(F.col("_flat") == "", 0).otherwise(F.length("_flat") - F.length("_signs") + 1)
+    parts = parts.withColumns({"n_words": words, "_undigited": F.regexp_replace("_signs", "[0-9]+", "")})
+    parts = parts.withColumn("_letters", F.regexp_replace("_undigited", r"[^\p{L}]+", ""))
     signs, letters, tokens, lines = F.length("_signs"), F.length("_letters"), F.size("_tokens"), F.size("_lines")
     where = lambda pattern: _share(F.size(F.filter("_lines", lambda x: x.rlike(pattern))), lines)
     items = F.regexp_count(text, F.lit(r"[\p{L}\p{N}][^\r\n,;|•]*"))
     fields = F.filter(F.split(text, FIELD_BREAK), lambda x: x.rlike(r"\S"))
-    digits = F.regexp_count(text, F.lit("[0-9]"))
+    digits = signs - F.length("_undigited")
     vowels = F.length(F.regexp_replace("_letters", r"[^aeiouyåäöéæøAEIOUYÅÄÖÉÆØ]+", ""))
     # a cheap look spares most texts the costly patterns
     apart = text.contains("\t") | text.contains("  ") | text.contains("|")
