@@ -13,6 +13,8 @@ from corpusloom.llm.registry import query
 from corpusloom.session import table
 
 CLOSERS = "\"'”’»)]"
+#: Words before a cut whose split into tokens the cut may change; the pattern looks ahead over white space only.
+TAIL = 8
 
 
 def _units(encoder: Encoder, text: str, largest: int) -> tuple[list[int], list[int], list[bool]]:
@@ -68,6 +70,14 @@ def pieces_of(encoder: Encoder, text: str, total: int, limit: int, overlap: int)
                 k -= 1
             if text[k] in ".!?…":
                 sentences.append(i)
+
+    def size_of(a: int, b: int) -> int:
+        """Tokens of the text between two units: the sums hold but for the last words, which are encoded anew."""
+        k = max(a, b - TAIL)
+        if inner[a] or any(inner[k : b + 1]):
+            return encoder.counts([text[chars[a] : chars[b]]])[0]
+        return tokens[k] - tokens[a] + encoder.counts([text[chars[k] : chars[b]]])[0]
+
     found, start = [], 0
     while True:
         last = bisect_right(tokens, tokens[start] + limit) - 1
@@ -83,7 +93,7 @@ def pieces_of(encoder: Encoder, text: str, total: int, limit: int, overlap: int)
                     break
             end = end or max(last, start + 1)
         # a cut may change how its ends are split into tokens; then step back
-        while (size := encoder.counts([text[chars[start] : chars[end]]])[0]) > limit and end > start + 1:
+        while (size := size_of(start, end)) > limit and end > start + 1:
             end -= 1
         found.append((chars[start], chars[end], size))
         if end >= n:

@@ -117,3 +117,22 @@ def test_mix(spark):
         mixing.mix(docs, targets.union(targets))
     assert mixing.mix(docs, targets.where("false"))[0].count() == 0
     assert chosen.select(F.max("repeats")).first()[0] >= 1
+
+
+def test_long_words_and_matrices_give_the_same_ids(monkeypatch):
+    rng = random.Random(9)
+    merges = bytebpe.read_merges(bytebpe.DEFAULT_VOCABULARY)
+    words = ["".join(rng.choice("aabcdeåö漢 e") for _ in range(rng.randint(1, 60))) for _ in range(300)] + ["a" * 200, "ab" * 90, "aab" * 70]
+    by_matrix = bytebpe.Encoder(merges).words(words)
+    monkeypatch.setattr(bytebpe, "LONG", 0)
+    encoder = bytebpe.Encoder(merges)
+    assert [encoder._long(w.encode()) for w in words] == by_matrix
+
+
+def test_sizes_of_pieces_are_those_of_pieces_encoded_alone():
+    encoder = bytebpe.Encoder(bytebpe.read_merges(bytebpe.DEFAULT_VOCABULARY))
+    rng = random.Random(10)
+    for _ in range(12):
+        text = "".join(rng.choice(["ord ", "  ", "\n\n", "don't ", "x" * rng.randint(1, 300), "123 ", "!? ", "\t \t", "漢字"]) for _ in range(600))
+        for a, b, n in splitting.pieces_of(encoder, text, encoder.counts([text])[0], 90, 20):
+            assert encoder.counts([text[a:b]])[0] == n <= 90
