@@ -171,20 +171,21 @@ class Encoder:
                 ranks[every[some], at[some]] = right[some]
 
     def _long(self, raw: bytes) -> tuple[int, ...]:
-        ids = self.byte_ids[np.frombuffer(raw, np.uint8)]
-        while len(ids) > 1:
-            ranks = self.table.rank(ids[:-1], ids[1:])
-            best = ranks.min()
-            if best == NEVER:
-                break
+        ids = self.byte_ids[np.frombuffer(raw, np.uint8)].astype(np.int32)
+        ranks = self.table.rank(ids[:-1], ids[1:])
+        while len(ranks) and (best := ranks.min()) != NEVER:
             hits = np.flatnonzero(ranks == best)
             # of overlapping occurrences (a run of one id) every second one merges
             start = np.r_[True, np.diff(hits) > 1]
             run = hits - hits[np.maximum.accumulate(np.where(start, np.arange(len(hits)), 0))]
             hits = hits[run % 2 == 0]
-            ids = ids.copy()
             ids[hits] = self.table.new[best]
-            ids = np.delete(ids, hits + 1)
+            ids, ranks = np.delete(ids, hits + 1), np.delete(ranks, hits)
+            # only pairs beside a merged one have another rank now
+            here = hits - np.arange(len(hits))
+            near = np.unique(np.r_[here[here > 0] - 1, here[here < len(ranks)]])
+            if len(near):
+                ranks[near] = self.table.rank(ids[near], ids[near + 1])
         return tuple(ids.tolist())
 
     def slices(self, text: str):

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,29 +16,58 @@ CLOSERS = "\"'”’»)]"
 TAIL = 8
 
 
-def _units(encoder: Encoder, text: str, largest: int) -> tuple[list[int], list[int], list[bool]]:
+def _units(encoder: Encoder, text: str, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Character and token offsets of the text's units, and which end inside a word.
 
     A unit is a word; in a word of more than ``largest`` tokens, each run of
     tokens that ends with a character.
     """
-    chars, tokens, inner = [0], [0], [False]
+    chars, tokens, inner = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1, bool)]
+    far, so_far = 0, 0
+
+    def add(lengths, sizes, inside) -> None:
+        nonlocal far, so_far
+        chars.append(far + lengths)
+        tokens.append(so_far + sizes)
+        inner.append(inside)
+        far, so_far = int(chars[-1][-1]), int(tokens[-1][-1])
+
     for part in encoder.slices(text):
         words = encoder.split(part)
+        if not words:
+            continue
         encoder.learn(words)
-        sizes = [encoder.sizes[w] for w in words]
-        for w, n in zip(words, sizes):
-            if n <= largest:
-                chars.append(chars[-1] + len(w))
-                tokens.append(tokens[-1] + n)
-                inner.append(False)
-                continue
-            base, so_far = chars[-1], tokens[-1]
-            at, upto = encoder.inner_ends(w)
-            chars.extend(base + k for k in at)
-            tokens.extend(so_far + k for k in upto)
-            inner += [True] * (len(at) - 1) + [False]
-    return chars, tokens, inner
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        sizes = np.fromiter(map(encoder.sizes.__getitem__, words), np.int64, len(words))
+        start = 0
+        for k in [*np.flatnonzero(sizes > largest).tolist(), len(words)]:
+            if k > start:
+                add(np.cumsum(lengths[start:k]), np.cumsum(sizes[start:k]), np.zeros(k - start, bool))
+            if k < len(words):
+                at, upto = encoder.inner_ends(words[k])
+                add(np.array(at, np.int64), np.array(upto, np.int64), np.arange(len(at)) < len(at) - 1)
+            start = k + 1
+    return np.concatenate(chars), np.concatenate(tokens), np.concatenate(inner)
+
+
+def _in(codes: np.ndarray, test) -> np.ndarray:
+    """Which code points a test of characters holds for, asked once for each."""
+    every, at = np.unique(codes, return_inverse=True)
+    return np.fromiter((test(chr(c)) for c in every.tolist()), bool, len(every))[at]
+
+
+def _boundaries(text: str, chars: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted units after which a line, a sentence and a word ends, but for the last."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    units = 1 + np.flatnonzero(~inner[1:-1])
+    before, after = codes[chars[units] - 1], codes[chars[units]]
+    at_line = (before == 10) | (after == 10)
+    lines, words = units[at_line], units[~at_line]
+    words = words[_in(after[~at_line], str.isspace)]
+    k, first = chars[words] - 1, chars[words - 1]
+    while len(more := np.flatnonzero((k > first) & _in(codes[k], CLOSERS.__contains__))):
+        k[more] -= 1
+    return lines, words[_in(codes[k], ".!?…".__contains__)], words
 
 
 def pieces_of(encoder: Encoder, text: str, total: int, limit: int, overlap: int) -> list[tuple[int, int, int]]:
@@ -56,49 +84,37 @@ def pieces_of(encoder: Encoder, text: str, total: int, limit: int, overlap: int)
         return [(0, len(text), total)]
     chars, tokens, inner = _units(encoder, text, max(1, overlap // 2))
     n = len(chars) - 1
-    lines, sentences, words = [], [], []
-    for i in range(1, n):
-        if inner[i]:
-            continue
-        before, after = text[chars[i] - 1], text[chars[i]]
-        if before == "\n" or after == "\n":
-            lines.append(i)
-        elif after.isspace():
-            words.append(i)
-            k = chars[i] - 1
-            while k > chars[i - 1] and text[k] in CLOSERS:
-                k -= 1
-            if text[k] in ".!?…":
-                sentences.append(i)
+    lines, sentences, words = _boundaries(text, chars, inner)
 
     def size_of(a: int, b: int) -> int:
         """Tokens of the text between two units: the sums hold but for the last words, which are encoded anew."""
         k = max(a, b - TAIL)
-        if inner[a] or any(inner[k : b + 1]):
+        if inner[a] or inner[k : b + 1].any():
             return encoder.counts([text[chars[a] : chars[b]]])[0]
-        return tokens[k] - tokens[a] + encoder.counts([text[chars[k] : chars[b]]])[0]
+        return int(tokens[k] - tokens[a]) + encoder.counts([text[chars[k] : chars[b]]])[0]
 
+    upto = lambda offsets, x: int(np.searchsorted(offsets, x, "right"))
     found, start = [], 0
     while True:
-        last = bisect_right(tokens, tokens[start] + limit) - 1
+        last = upto(tokens, tokens[start] + limit) - 1
         if last >= n:
             end = n
         else:
             end = 0
             half, some = tokens[start] + limit // 2, tokens[start] + overlap + 1
             for kind, least in ((lines, half), (sentences, half), (words, some)):
-                k = bisect_right(kind, last) - 1
+                k = upto(kind, last) - 1
                 if k >= 0 and tokens[kind[k]] >= least:
-                    end = kind[k]
+                    end = int(kind[k])
                     break
             end = end or max(last, start + 1)
         # a cut may change how its ends are split into tokens; then step back
         while (size := size_of(start, end)) > limit and end > start + 1:
             end -= 1
-        found.append((chars[start], chars[end], size))
+        found.append((int(chars[start]), int(chars[end]), size))
         if end >= n:
             return found
-        start = max(start + 1, min(end, bisect_right(tokens, tokens[end] - overlap) - 1))
+        start = max(start + 1, min(end, upto(tokens, tokens[end] - overlap) - 1))
 
 
 def split_oversized(
