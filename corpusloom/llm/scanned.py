@@ -229,6 +229,7 @@ def parsed(scans: DataFrame, headers: DataFrame, fold: Folding) -> DataFrame:
                 out.append((r["scan_id"], r["pkey"], r["page_no"], r["scanned_at"], p.roles, p.hyphens, p.open, p.start, *words))
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], names=list(fields))
 
+    scans = scans.select("scan_id", "package_id", "page_no", "scanned_at", "content")
     rows = meet(scans, headers, "scan_id", "left").select(
         "scan_id", package_key(F.col("package_id")).alias("pkey"), "page_no", F.col("scanned_at").cast("timestamp_ntz"), "content", "headers"
     )
@@ -344,7 +345,7 @@ def candidate_table(counts: DataFrame, rules: list[tuple[str, str, float]]) -> D
     known = counts.where(F.col("w").rlike(_SOUND)).select(F.col("w").alias("meant"), F.col("n").alias("times"))
     most = known.agg(F.max("times")).first()[0] or 1
     shared = spark.sparkContext.broadcast((rules, Grams.of(known)))
-    best = math.log(most) + 2 * math.log1p(BIGRAM)
+    best = math.log(most) + 2 * math.log1p(BIGRAM * most)
 
     def run(batches):
         known_rules, grams = shared.value
@@ -353,10 +354,11 @@ def candidate_table(counts: DataFrame, rules: list[tuple[str, str, float]]) -> D
             for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sound = all(c.isalpha() or c == "-" for c in w)
                 for m, s in readings(w, known_rules, math.log(RESIDUE if sound else ODD) - best, grams).items():
-                    words.append(w)
-                    counts_.append(n)
-                    meant.append(m)
-                    scores.append(s)
+                    if len(m) > 1:  # a single character has no others to be recognised by
+                        words.append(w)
+                        counts_.append(n)
+                        meant.append(m)
+                        scores.append(s)
             columns = [pa.array(words, pa.string()), pa.array(counts_, pa.int64()), pa.array(meant, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["w", "n", "meant", "channel"])
 

@@ -105,7 +105,7 @@ def replacements(spark):
 
 
 def scans(spark, rows):
-    return spark.createDataFrame(rows, "scan_id long, package_id string, page_no int, content string, scanned_at timestamp, roles string")
+    return spark.createDataFrame(rows, "scan_id long, package_id string, page_no int, content string, scanned_at timestamp, headers string")
 
 
 def test_headers_recur_at_the_edge_in_tables_of_any_size(spark):
