@@ -46,6 +46,13 @@ def test_survivors(spark):
     assert again[(1, "content")] == 2
 
 
+def test_no_join_of_survivors_broadcasts(spark):
+    rows = [(i, (f"bib{i % 9}", f"t{i % 3}", "x", 1, "1", "1"), [A, B], "low", at(1), "") for i in range(30)]
+    origins = spark.createDataFrame([("low", 1)], "origin string, trust int")
+    plan = survivor.survivors(spark.createDataFrame(rows, SCHEMA), origins)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_a_hot_package(spark):
     rows = [(i, ("bib7", f"t{i % 3}", "x", 1, "1", "1"), [A, f"{B} {i}"], "low", at(1), "") for i in range(300)]
     origins = spark.createDataFrame([("low", 1)], "origin string, trust int")
