@@ -115,8 +115,8 @@ def plain_punctuation(text: Column) -> Column:
     break are spared a text without any.
     """
     text = F.translate(text, "–„“”\r", '-"""')
-    text = F.regexp_replace(F.regexp_replace(text, r"(?=\()|(?<=\))", " "), " {2,}", " ")
-    text = F.regexp_replace(text, r" (?=[:;)])|(?<=\() |(?<=\)) (?=[.!?,])|(?<=[0-9]) (?=%)", "")
+    text = F.regexp_replace(F.replace(F.replace(text, F.lit("("), F.lit(" (")), F.lit(")"), F.lit(") ")), " {2,}", " ")
+    text = F.regexp_replace(text, r" (?:(?=[:;)])|(?<=\( )|(?<=\) )(?=[.!?,])|(?<=[0-9] )(?=%))", "")
     text = F.replace(F.translate(text, "`", "'"), F.lit("''"), F.lit(' " '))
     text = F.regexp_replace(F.replace(text, F.lit("—"), F.lit(" - ")), " {2,}", " ")
     text = F.replace(F.replace(F.translate(text, "´‘‚’", "''''"), F.lit("''"), F.lit('"')), F.lit("…"), F.lit("..."))
