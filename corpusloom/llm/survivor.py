@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.registry import query
@@ -15,6 +15,8 @@ STAND_INS = ("failed", "no title", "no created", "no edition", "no issue")
 FIELDS = ("title", "created", "year", "edition", "issue", "content")
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Orders in which shingles point to contents at once; more of them only leave fewer pairs to compare.
+ORDERS = 8
 #: Cells of the table of an alignment; larger ones are halved until they fit.
 CELLS = 4_000_000
 #: Origins are a short configuration table.
@@ -91,22 +93,105 @@ def shingled(rows: DataFrame) -> DataFrame:
     return own.unionByName(boxes.select("pid", "node", F.lit(-1).alias("box"), F.explode(heads).alias("sh")))
 
 
-def content_links(rows: DataFrame) -> DataFrame:
-    """``(pid, node, to)``: contents of one key that are parts of the same text.
+def content_links(shingles: DataFrame, boxes: DataFrame) -> DataFrame:
+    """``(pid, node, to)``: contents of one key that are parts of the same text, as far as one link a shingle and box shows it.
 
     Every shingle of a key points to the largest content that has it; a box
     whose shingles point to one content for at least four fifths is part of
-    that.  No pairs are formed: a shingle of any number of contents gives each
-    one link.
+    that.  Boxes of the same shingles point to the largest content that has one.
+    Every link is right, but a box may be part of a content that isn't the
+    largest with its shingles: ``content_labels`` finds what is missing.
     """
-    shingles = cut(shingled(rows))
-    largest = shingles.groupBy("pid", "sh").agg(F.max("node").alias("to"), F.count("*").alias("n")).where("n > 1")
     own = shingles.where("box >= 0")
-    parts = own.groupBy("pid", "node", "box").agg(F.count("*").alias("size"))
+    largest = shingles.groupBy("pid", "sh").agg(F.max("node").alias("to"), F.count("*").alias("n")).where("n > 1")
     shared = meet(own, largest, ["pid", "sh"]).groupBy("pid", "node", "box", "to").agg(F.count("*").alias("shared"))
-    links = meet(shared, parts, ["pid", "node", "box"])
-    links = links.where((F.col("shared") >= SIMILARITY * F.col("size")) & (F.col("node") != F.col("to")))
-    return links.select("pid", "node", "to").distinct()
+    links = meet(shared, boxes, ["pid", "node", "box"]).where(F.col("shared") >= SIMILARITY * F.col("size"))
+    same = boxes.groupBy("pid", "shingles", "size").agg(F.max("node").alias("to"))
+    links = links.select("pid", "node", "to").unionByName(meet(boxes, same, ["pid", "shingles", "size"]).select("pid", "node", "to"))
+    return links.where("node != to").distinct()
+
+
+def open_boxes(shingles: DataFrame, boxes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Boxes that may be part of a content with another label, and the contents that may have them, by shingle.
+
+    ``(pid, node, box, size, label, sh)`` and ``(pid, sh, to, to_label)``.  At
+    least four fifths of such a box's shingles are in contents of other labels;
+    others of its shingles aren't returned.  Of boxes of the same shingles, which
+    have the same label, one is.
+    """
+    several = labels.groupBy("pid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("pid")
+    labelled = cut(meet(shingles, meet(labels, several, "pid", "left_semi"), ["pid", "node"]))
+    mixed = labelled.groupBy("pid", "sh").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("pid", "sh")
+    labelled = cut(meet(labelled, mixed, ["pid", "sh"], "left_semi"))
+    own = labelled.where("box >= 0")
+    found = meet(own.groupBy("pid", "node", "box").agg(F.count("*").alias("n")), boxes, ["pid", "node", "box"])
+    found = found.where(F.col("n") >= SIMILARITY * F.col("size")).groupBy("pid", "shingles", "size").agg(F.max(F.struct("node", "box")).alias("x"))
+    open_ = cut(meet(own, found.select("pid", "x.node", "x.box", "size"), ["pid", "node", "box"]))
+    held = labelled.select("pid", "sh", F.col("node").alias("to"), F.col("label").alias("to_label")).distinct()
+    held = cut(meet(held, open_.select("pid", "sh").distinct(), ["pid", "sh"], "left_semi"))
+    return open_.select("pid", "node", "box", "size", "label", "sh"), held
+
+
+def pointed_links(open_: DataFrame, held: DataFrame, turn: int) -> DataFrame:
+    """Links between labels where every shingle points to the first contents of a few orders, others each turn."""
+    orders = [F.max(F.struct(F.xxhash64("to", F.lit(turn * ORDERS + i)), "to", "to_label")) for i in range(ORDERS)]
+    points = held.groupBy("pid", "sh").agg(F.array_distinct(F.transform(F.array(*orders), lambda x: F.struct(x["to"], x["to_label"]))).alias("x"))
+    points = points.select("pid", "sh", F.inline("x").alias("to", "to_label"))
+    shared = meet(open_, points, ["pid", "sh"]).where("label != to_label")
+    shared = shared.groupBy("pid", "node", "box", "size", "label", "to", "to_label").agg(F.count("*").alias("shared"))
+    links = shared.where(F.col("shared") >= SIMILARITY * F.col("size"))
+    return links.select("pid", F.col("label").alias("node"), F.col("to_label").alias("to")).distinct()
+
+
+def every_link(open_: DataFrame, held: DataFrame) -> DataFrame:
+    """All links between labels: each box against every content of another label that can have four fifths of its shingles.
+
+    Such a content lacks a fifth at most, so that it has one of the box's
+    rarest shingles as soon as these are more than a fifth.
+    """
+    rare = held.groupBy("pid", "sh").agg(F.count("*").alias("n"))
+    box = Window.partitionBy("pid", "node", "box")
+    ranked = meet(open_, rare, ["pid", "sh"]).withColumn("place", F.row_number().over(box.orderBy("n", "sh")))
+    ranked = ranked.withColumn("k", F.count("*").over(box)).where(F.col("place") <= F.col("k") - F.ceil(SIMILARITY * F.col("size")) + 1)
+    pairs = meet(ranked.select("pid", "node", "box", "label", "sh"), held, ["pid", "sh"]).where("label != to_label")
+    pairs = cut(pairs.select("pid", "node", "box", "to").distinct())
+    mine = open_.groupBy("pid", "node", "box", "size", "label").agg(F.collect_list("sh").alias("mine"))
+    theirs = held.groupBy("pid", "to", "to_label").agg(F.collect_list("sh").alias("theirs"))
+    both = meet(meet(pairs, mine, ["pid", "node", "box"]), theirs, ["pid", "to"])
+    both = both.where(F.size(F.array_intersect("mine", "theirs")) >= SIMILARITY * F.col("size"))
+    return both.select("pid", F.col("label").alias("node"), F.col("to_label").alias("to")).distinct()
+
+
+def content_labels(rows: DataFrame) -> DataFrame:
+    """``(pid, node, label)``: contents have one label if links lead from one to the other; label is the greatest of these nodes.
+
+    A link is between two contents of a key, of which one has at least four
+    fifths of the shingles of a box of the other.  Most are found without pairs,
+    by pointing.  Pointing goes on as long as each turn joins a tenth of the
+    labels of boxes that may be part of a content with another label; what is
+    left is compared with every content that comes into question.
+    """
+    shingles = cut(shingled(rows))
+    boxes = shingles.where("box >= 0").groupBy("pid", "node", "box").agg(F.count("*").alias("size"), F.bit_xor("sh").alias("shingles"))
+    boxes = cut(boxes)
+    labels = boxes.select("pid", "node", F.col("node").alias("label")).distinct()
+    labels = relabelled(labels, content_links(shingles, boxes))
+    before, turn = None, 0
+    while True:
+        open_, held = open_boxes(shingles, boxes, labels)
+        left = open_.select("pid", "label").distinct().count()
+        if not left:
+            return labels
+        if before is not None and left > 0.9 * before:
+            return relabelled(labels, every_link(open_, held))
+        before, turn = left, turn + 1
+        labels = relabelled(labels, pointed_links(open_, held, turn))
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after links between them."""
+    merged = components(links).select("pid", F.col("node").alias("label"), F.col("label").alias("into"))
+    return cut(meet(labels, merged, ["pid", "label"], "left").select("pid", "node", F.coalesce("into", "label").alias("label")))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -132,7 +217,7 @@ def grouped(rows: DataFrame) -> DataFrame:
     key's only package; among several, to the one that shares most of its values,
     then to the one of most records.
     """
-    labels = components(content_links(rows))
+    labels = content_labels(rows)
     known = meet(rows, labels, ["pid", "node"], "left").withColumn("package", F.coalesce("label", "node")).drop("label")
     known = cut(known)
     with_content = known.where("node IS NOT NULL")

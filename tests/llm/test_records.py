@@ -103,6 +103,75 @@ def test_votes_decide_what_the_order_leaves_open(spark):
     assert survivor_of((1, 1, "a x c"), (2, 1, "a x c"), (3, 2, "a b c"), (4, 1, "a x c")) == 3
 
 
+WORDS = [a + b + c for a in "bdfgklmn" for b in "aeiouy" for c in ("r", "st", "nk")]
+
+
+def content_rows(spark, contents):
+    rows = [(i, (key, None, None, None, None, None), boxes, "low", at(1), "") for i, (key, boxes) in enumerate(contents)]
+    return survivor.prepared(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("low", 1)], "origin string, trust int")).cache()
+
+
+def label_groups(rows):
+    found = survivor.content_labels(rows).join(rows.select("pid", "node", "rec_id"), ["pid", "node"]).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r["label"], set()).add(r["rec_id"])
+    return sorted(map(sorted, groups.values()))
+
+
+def groups_by_hand(contents):
+    """Contents of a key that have four fifths of the shingles of a box of each other, by every pair of box and content."""
+    boxes, has = [], []
+    for _, texts in contents:
+        mine, everything = [], set()
+        for w in (t.split()[:-1] for t in texts):
+            mine.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+            everything |= mine[-1] | {tuple(w[:3]), tuple(w[:4])}
+        boxes.append(mine)
+        has.append(everything)
+    of = list(range(len(contents)))
+    for i, mine in enumerate(boxes):
+        for j in range(len(contents)):
+            if contents[i][0] == contents[j][0] and any(len(m & has[j]) >= 0.8 * len(m) for m in mine):
+                old, into = of[i], of[j]
+                of = [into if x == old else x for x in of]
+    return sorted([i for i, x in enumerate(of) if x == k] for k in set(of))
+
+
+def test_a_part_of_a_content_that_is_not_the_largest_with_its_shingles(spark):
+    text = WORDS[:30]
+    other = lambda n, k: [f"{w}{k}" for w in (WORDS * 3)[:n]]
+    part, whole = " ".join(text), " ".join(other(10, "x") + text + other(10, "y"))
+    larger = [" ".join(text[:14] + other(100, "z")), " ".join(other(100, "u") + text[16:])]
+    records = [(1, whole, 2), (2, part, 1), (3, larger[0], 3), (4, larger[1], 3)]
+    # the part shares less than half of its shingles with each of the larger two and all with the whole
+    rows = [(k, ("bib7", f"t{k}", None, None, None, None), [box], "low", at(day), "") for k, box, day in records]
+    origins = spark.createDataFrame([("low", 1)], "origin string, trust int")
+    got = {(r["first_rec_id"], r["field_name"]): r["rec_id"] for r in survivor.survivors(spark.createDataFrame(rows, SCHEMA), origins).collect()}
+    assert got == {(1, "title"): 1, (1, "content"): 1}
+
+
+@pytest.mark.parametrize("pointing", [True, False])
+def test_content_labels_against_every_pair(spark, monkeypatch, pointing):
+    if not pointing:
+        monkeypatch.setattr(survivor, "pointed_links", lambda open_, held, turn: open_.selectExpr("pid", "label AS node", "label AS to").where("false"))
+    rng = random.Random(7)
+    contents = []
+    for key in range(30):
+        texts = [rng.sample(WORDS, 40) for _ in range(3)]
+        for _ in range(rng.randrange(2, 9)):
+            boxes = []
+            for _ in range(rng.randrange(1, 3)):
+                pieces = [rng.sample(WORDS, rng.randrange(30))]
+                for _ in range(rng.randrange(1, 4)):
+                    text, start = rng.choice(texts), rng.randrange(30)
+                    pieces.insert(rng.randrange(2), text[start : start + rng.randrange(4, 25)])
+                boxes.append(" ".join(w for piece in pieces for w in piece))
+            contents.append((f"bib{key}", boxes))
+    groups = groups_by_hand(contents)
+    assert label_groups(content_rows(spark, contents)) == groups and 30 < len(groups) < len(contents)
+
+
 PAGE = "Byns Tidning   2\n\nVi gick till mark-\nnaden i går, och till in-\noch utförseln vid hamnen.\nDet var kväl¬ \nlen efter.\n- 2 -"
 
 
