@@ -4,8 +4,10 @@ import math
 import random
 import re
 import unicodedata
+import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -321,6 +323,23 @@ def test_similar_pairs_are_all_found(spark, monkeypatch, kind, block):
     assert sum(s < 0.7 for s in want.values()) > 20
 
 
+@pytest.mark.parametrize("kind", ["union", "max", "min"])
+def test_bounds_keep_all_similar_pairs_and_few_others(kind):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(150)]
+    base = [" ".join(rng.choice(words) for _ in range(rng.randint(40, 60))) for _ in range(150)]
+    texts = base + [t[: len(t) * 3 // 4] + " " + u[: len(u) // 3] for t, u in zip(base[:40], base[40:])]
+    want = pairs_model(texts, kind)
+    names = ["rep", "text", "block", "most"]
+    most = max(map(len, texts))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([zlib.compress(t.encode()) for t in texts]), pa.array([0] * len(texts)), pa.array([most] * len(texts))], names=names)
+    side = D._Side([p for b in D._packed([rows], D._Axes(texts[:100])) for p in b.column("texts").to_pylist()])
+    keys = side.keys.to_pylist()
+    likely = {tuple(sorted((keys[x], keys[y]))) for i, j in D._likely(side, side, True, 0.5, kind) for x, y in zip(i, j)}
+    assert set(want) <= likely and len(want) >= 40
+    assert kind == "min" or len(likely) < len(texts) ** 2 / 20
+
+
 def test_jaccard_kinds(spark):
     df = spark.createDataFrame([(["a", "b", "c"], ["b", "c", "d", "e"], [])], "a array<string>, b array<string>, e array<string>")
     r = df.select(*(D.jaccard(F.col("a"), F.col("b"), k) for k in ("union", "min", "max")), D.jaccard(F.col("a"), F.col("e"))).first()
